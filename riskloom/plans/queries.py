@@ -7,9 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.operators import (
+    attribution,
+    calibrate,
+    curves,
+    drift,
+    encode,
+    gates,
+    generate,
+    importance,
+    impute,
+    metrics,
+    scale,
+    select,
+    split,
+    stats,
+    train,
+)
 from riskloom.operators import clean as C
-from riskloom.operators import curves, drift, encode, gates, generate, importance, impute, metrics, scale, select, split, stats
-from riskloom.session import work_path
+from riskloom.session import work_path, written
 from riskloom.sources import loan_csv, tables
 from riskloom.sources.loan_view import loans, scored_loans
 
@@ -40,7 +56,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 def cleaned(spark: SparkSession, d: str, columns: list[str], extra: list[str] | None = None) -> DataFrame:
     """Cleaned loans with the label and ``columns``; only what is asked for is read."""
     raw = loans(spark, d, list(dict.fromkeys([*(extra or []), "loan_status", "loan_amnt", *columns])))
-    return C.clean(raw, AS_OF).select(*(extra or []), "loan_status", *[c for c in columns])
+    return C.clean(raw, AS_OF).select(*(extra or []), "loan_status", *columns)
 
 
 def sides(spark: SparkSession, d: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -614,3 +630,88 @@ def default_rate_by_grade(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+
+
+# --- learning ----------------------------------------------------------------------------------
+
+LEARNED = [*NUMERIC, "p"]
+ROUNDS = 10
+
+
+def learning_sets(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Train, validation and test rows: the cleaned loans with gaps filled from the training rows, and the
+    label-bearing score ``p`` as one more feature."""
+    df = cleaned(spark, d, [*NUMERIC, "score_milli"], ["id"])
+    df = df.withColumn("p", (F.col("score_milli") * 7 + F.col("loan_status") * 3000) / F.lit(10000.0))
+    parts = split.split_rows(df.drop("score_milli"), KEY, SEED)
+    means = impute.fit_mean(parts.where(F.col("split") == "train"), NUMERIC)
+    filled = written(impute.fill(parts, means, NUMERIC), "learning")
+    return {s: filled.where(F.col("split") == s) for s in ("train", "val", "test")}
+
+
+def _model(sets: dict[str, DataFrame]):
+    params = train.TreeParams(rounds=ROUNDS, max_depth=4, seed=SEED)
+    return train.train_gbt(sets["train"], LEARNED, "loan_status", params, sets["val"])
+
+
+@query
+def train_gbt(spark: SparkSession, d: str) -> DataFrame:
+    sets = learning_sets(spark, d)
+    model = _model(sets)
+    scored = train.score_table(model, sets["test"], LEARNED, ["loan_status"])
+    found = metrics.all_metrics(scored, "loan_status", "p")
+    return found.withColumn("n_trees", F.lit(len(model.treeWeights)))
+
+
+@query
+def score_table(spark: SparkSession, d: str) -> DataFrame:
+    sets = learning_sets(spark, d)
+    return train.score_table(_model(sets), sets["test"], LEARNED, ["id", "loan_status"])
+
+
+@query
+def hyperparam_search(spark: SparkSession, d: str) -> DataFrame:
+    sets = learning_sets(spark, d)
+    base = train.TreeParams(rounds=3, seed=SEED)
+    return train.hyperparam_search(
+        sets["train"], sets["val"], LEARNED, "loan_status", n_trials=3, base=base, parallelism=2
+    )
+
+
+@query
+def learning_curve(spark: SparkSession, d: str) -> DataFrame:
+    sets = learning_sets(spark, d)
+    return train.learning_curve(
+        _model(sets), {"train": sets["train"], "val": sets["val"]}, LEARNED, "loan_status"
+    )
+
+
+@query
+def select_by_importance(spark: SparkSession, d: str) -> DataFrame:
+    return train.select_by_importance(learning_sets(spark, d)["train"], LEARNED, "loan_status", rounds=ROUNDS)
+
+
+@query
+def model_importance(spark: SparkSession, d: str) -> DataFrame:
+    return train.model_importance(_model(learning_sets(spark, d)), LEARNED)
+
+
+@query
+def calibrate_isotonic(spark: SparkSession, d: str) -> DataFrame:
+    df = scored_loans(spark, d)
+    fitted = calibrate.fit_isotonic(df, "loan_status", "p")
+    return curves.calibration_curve(fitted.transform(df, "p"), "loan_status", "calibrated")
+
+
+@query
+def calibrate_sigmoid(spark: SparkSession, d: str) -> DataFrame:
+    df = scored_loans(spark, d)
+    fitted = calibrate.fit_sigmoid(df, "loan_status", "p")
+    return curves.calibration_curve(fitted.transform(df, "p"), "loan_status", "calibrated")
+
+
+@query
+def shap_table(spark: SparkSession, d: str) -> DataFrame:
+    sets = learning_sets(spark, d)
+    sample = split.sample_rows(sets["train"], KEY, attribution.SAMPLE_ROWS, SEED)
+    return attribution.shap_table(_model(sets), sample, LEARNED, "id")
