@@ -17,17 +17,21 @@ from riskloom.operators import (
     generate,
     importance,
     impute,
+    knn,
     metrics,
     scale,
     select,
+    snapshot,
     split,
     stats,
     train,
 )
 from riskloom.operators import clean as C
+from riskloom.operators import preprocess as prep
 from riskloom.session import work_path, written
 from riskloom.sources import loan_csv, tables
 from riskloom.sources.loan_view import loans, scored_loans
+from riskloom.streaming import drift_stream
 
 AS_OF = "2005-01-01"
 SEED = 42
@@ -715,3 +719,61 @@ def shap_table(spark: SparkSession, d: str) -> DataFrame:
     sets = learning_sets(spark, d)
     sample = split.sample_rows(sets["train"], KEY, attribution.SAMPLE_ROWS, SEED)
     return attribution.shap_table(_model(sets), sample, LEARNED, "id")
+
+
+# --- nearest neighbours, preprocessing, stored references, arriving batches ---------------------
+
+
+@query
+def impute_knn(spark: SparkSession, d: str) -> DataFrame:
+    names = ["loan_amnt", "annual_inc", "dti", "revol_util", "revol_bal", "total_acc"]
+    return knn.impute_knn(cleaned(spark, d, names, ["id"]), names, "id").drop("loan_status")
+
+
+@query
+def preprocess(spark: SparkSession, d: str) -> DataFrame:
+    df = cleaned(spark, d, NUMERIC + CATEGORICAL, ["id"])
+    return prep.preprocess(df, "id", imputation="median", scaling="robust")
+
+
+@query
+def scan_zip_csv(spark: SparkSession, d: str) -> DataFrame:
+    rows = loan_csv.scan_zip_csv(spark, _zip_files(spark, d))
+    return loan_csv.drop_note_rows(rows).select("id", "term", "grade", "loan_status")
+
+
+def _zip_files(spark: SparkSession, d: str) -> str:
+    """The raw files, each packed into an archive of its own by the tasks that read them."""
+    path = work_path(spark, "zip-files")
+    packed = loan_csv.pack_files(spark, _loan_files(spark, d), path)
+    packed.write.format("noop").mode("overwrite").save()
+    return path
+
+
+@query
+def reference_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    base = work_path(spark, "snapshot")
+    ref, _ = sides(spark, d, NUMERIC + CATEGORICAL)
+    found, _ = _importance_of_sides(spark, d)
+    measured, _ = _metrics_of_sides(spark, d)
+    snapshot.save_snapshot(base, ref, found, measured)
+    parts = snapshot.load_snapshot(spark, base)
+    sizes = [
+        df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("part"), "n_rows", F.lit(len(df.columns)).alias("n_columns"))
+        for n, df in parts.items()
+    ]
+    out = sizes[0]
+    for s in sizes[1:]:
+        out = out.unionByName(s)
+    return out
+
+
+@query
+def stream_drift(spark: SparkSession, d: str) -> DataFrame:
+    ref, cur = sides(spark, d, ["loan_amnt", "dti", "grade", "annual_inc"])
+    base = work_path(spark, "stream")
+    ref = written(ref, "reference")
+    cur.repartition(2).write.parquet(f"{base}/in")
+    arriving = spark.readStream.schema(cur.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    drift_stream.stream_drift(ref, arriving, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return drift_stream.drift_history(spark, f"{base}/out")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -72,6 +73,34 @@ def scan_zip_csv(
     return archives.select("path", "content").mapInPandas(unzip, schema)
 
 
+def pack_files(spark: SparkSession, path: str, target: str) -> DataFrame:
+    """Zip every ``*.txt`` file below ``path`` into an archive of its own in the shared folder ``target``; running the
+    returned table of archive names does the work, a file per task."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        store, folder = fs.FileSystem.from_uri(target)
+        store.create_dir(folder)
+        for batch in batches:
+            names = []
+            for name, content in zip(batch["path"], batch["content"]):
+                stem = name.rsplit("/", 1)[-1].rsplit(".", 1)[0]
+                packed = io.BytesIO()
+                with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+                    archive.writestr(f"{stem}.csv", content)
+                names.append(f"{target}/{stem}.zip")
+                # written under a name of its own first, so a task that runs twice leaves one whole archive
+                draft = f"{folder}/{stem}.{uuid.uuid4().hex}"
+                with store.open_output_stream(draft) as out:
+                    out.write(packed.getvalue())
+                store.move(draft, f"{folder}/{stem}.zip")
+            yield pd.DataFrame({"archive": names})
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    return files.select("path", "content").mapInPandas(pack, "archive string")
+
+
 def drop_note_rows(df: DataFrame, mode: str = "data", amount: str = "loan_amnt") -> DataFrame:
     """Drop what is not a loan.
 
