@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.ordered import cut_points, prefix_sums, value_counts_by_side
+from riskloom.operators.ordered import prefix_sums, value_counts_by_side
 from riskloom.operators.stats import TOP_CATEGORIES, category_frequencies, numeric_stats
 from riskloom.schema import numeric_columns, string_columns
 
@@ -51,7 +51,7 @@ def distribution_distances(
     names = list(columns) if columns is not None else shared_features(reference, current)["numeric"]
     both = _both(reference, current, names)
     sides = {"ref": (F.col("side") == "ref").cast("int"), "cur": (F.col("side") == "cur").cast("int")}
-    freq = value_counts_by_side(both, names, sides, cut_points(both, names))
+    freq = value_counts_by_side(both, names, sides)
     points = prefix_sums(freq, ["feature"], "value", ["ref", "cur"], neighbours=True)
 
     def reached(side: str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.ordered import cut_points, prefix_sums, with_bucket
+from riskloom.operators.ordered import prefix_sums
 
 THRESHOLD = 0.5
 METRICS = ("auc", "f1", "precision", "recall", "accuracy")
@@ -77,8 +77,7 @@ def score_frequencies(
 ) -> DataFrame:
     """One row per distinct score with its ``pos`` and ``neg`` counts, the counts below it, and the totals."""
     rows = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-    rows = with_bucket(rows, score, cut_points(rows, [score])[score])
-    freq = rows.groupBy(*groups, F.col("bucket").cast("int").alias("bucket"), F.col(score).alias("score")).agg(
+    freq = rows.groupBy(*groups, F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
     )
     return prefix_sums(freq, list(groups), "score", ["pos", "neg"], neighbours)

@@ -3,9 +3,10 @@
 AUC, the curves, KS, Wasserstein and exact quantiles all need a global order. A window without a partition key
 would send every row to one task, so the order is built in two levels instead:
 
-1. cut points from a quantile sketch put each value into a bucket (a pure function of the value, so retried or
-   re-planned tasks agree on it; the cut points only balance the work, they never change a result);
-2. rows are grouped by value, which folds ties and hot values into one row each before the shuffle;
+1. rows are grouped by value, which folds ties and hot values into one row each before the shuffle; the grouped
+   table is written once and everything after reads that;
+2. cut points from a quantile sketch of the distinct values put each value into a bucket (they only balance the work,
+   they never change a result);
 3. bucket totals (groups x buckets rows, a bounded table) give each bucket its offset;
 4. a window inside each bucket adds the local running sum.
 """
@@ -18,6 +19,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from riskloom.session import written
+
 MAX_BUCKETS = 1000
 
 
@@ -64,15 +67,29 @@ def bucketed_long(df: DataFrame, cuts: dict[str, list[float]], keep: Sequence[st
     return wide.select(*keep, F.inline(F.array(*cells))).where(F.col("value").isNotNull())
 
 
+def _bucketed(freq: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
+    n = bucket_count(freq.sparkSession)
+    sketch = F.percentile_approx(value, [i / n for i in range(1, n)], 10 * n)
+    if groups:
+        # one list of cut points per group; groups are features, sides or rounds, never row data
+        cuts = freq.groupBy(*groups).agg(sketch.alias("cuts"))
+        placed = freq.join(F.broadcast(cuts), list(groups))
+    else:
+        placed = freq.withColumn("cuts", freq.agg(sketch).scalar())
+    bucket = F.size(F.filter("cuts", lambda c: c < F.col(value)))
+    return placed.withColumn("bucket", bucket).drop("cuts")
+
+
 def prefix_sums(
     freq: DataFrame, groups: Sequence[str], value: str, sums: Sequence[str], neighbours: bool = False
 ) -> DataFrame:
     """Adds ``<s>_below`` (sum over smaller values of the group) and ``<s>_total`` for each of ``sums``.
 
-    ``freq`` has one row per (groups, bucket, value). With ``neighbours`` it also adds ``previous`` and ``next``:
-    the (value, sums…) of the adjacent rows, across bucket borders.
+    ``freq`` has one row per (groups, value). With ``neighbours`` it also adds ``previous`` and ``next``: the
+    (value, sums…) of the adjacent rows, across bucket borders.
     """
     keys = [*groups, "bucket"]
+    freq = _bucketed(written(freq, "frequencies"), groups, value)
     point = F.struct(F.col(value).alias("value"), *[F.col(s) for s in sums])
     folded = [F.sum(s).alias(f"{s}_in") for s in sums]
     if neighbours:
@@ -105,17 +122,16 @@ def prefix_sums(
     return freq.select(*keys, value, *sums, *local).join(offsets, keys).select(*out)
 
 
-def value_counts_by_side(
-    df: DataFrame, columns: Sequence[str], sums: dict[str, Column], cuts: dict[str, list[float]] | None = None
-) -> DataFrame:
-    """``(feature, bucket, value, sums…)``: the shared frame behind the distribution distances.
+def value_counts_by_side(df: DataFrame, columns: Sequence[str], sums: dict[str, Column]) -> DataFrame:
+    """``(feature, value, sums…)``: the shared frame behind the distribution distances; missing values are left out.
 
     ``sums`` maps an output name to a 0/1 column of ``df``.
     """
-    flags = df.select(*columns, *[e.alias(f"_{n}") for n, e in sums.items()])
-    cuts = cuts or cut_points(df, columns)
-    long = bucketed_long(flags, cuts, keep=[f"_{n}" for n in sums])
-    return long.groupBy("feature", "bucket", "value").agg(*[F.sum(f"_{n}").cast("bigint").alias(n) for n in sums])
+    flags = [e.alias(f"_{n}") for n, e in sums.items()]
+    names = [f"_{n}" for n in sums]
+    wide = df.select(*flags, *[finite(c).alias(c) for c in columns])
+    long = wide.unpivot(names, list(columns), "feature", "value").where(F.col("value").isNotNull())
+    return long.groupBy("feature", "value").agg(*[F.sum(f"_{n}").cast("bigint").alias(n) for n in sums])
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
