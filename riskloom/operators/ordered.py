@@ -19,7 +19,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskloom.session import written
+from riskloom.session import checked_broadcast, written
 
 MAX_BUCKETS = 1000
 
@@ -170,13 +170,13 @@ def _quantiles_from(long: DataFrame, groups: list[str], probabilities: Sequence[
         return (F.col(r) >= start) & (F.col(r) < start + n)
 
     held = inside("low_rank", F.col("offset"), F.col("n")) | inside("high_rank", F.col("offset"), F.col("n"))
-    wanted = wanted.where(held).drop("n")
-    # both bounded: at most two buckets per group and probability
+    # at most two rows per group and probability, fetched once for both uses
+    wanted = checked_broadcast(wanted.where(held).drop("n"))
     kept = long.join(F.broadcast(wanted.select(*keys).distinct()), keys)
     detail = kept.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
     smaller = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     detail = detail.withColumn("local", F.coalesce(F.sum("n").over(smaller), F.lit(0)))
-    hit = detail.join(F.broadcast(wanted), keys).withColumn("start", F.col("offset") + F.col("local"))
+    hit = detail.join(wanted, keys).withColumn("start", F.col("offset") + F.col("local"))
     ends = hit.groupBy(*groups, "prob").agg(
         F.max(F.when(inside("low_rank", F.col("start"), F.col("n")), F.col("value"))).alias("low"),
         F.max(F.when(inside("high_rank", F.col("start"), F.col("n")), F.col("value"))).alias("high"),

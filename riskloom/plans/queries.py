@@ -63,9 +63,14 @@ def cleaned(spark: SparkSession, d: str, columns: list[str], extra: list[str] |
     return C.clean(raw, AS_OF).select(*(extra or []), "loan_status", *columns)
 
 
+def staged(spark: SparkSession, d: str, columns: list[str], extra: list[str] | None = None) -> DataFrame:
+    """Cleaned loans as a written table, for operators that read their input more than once."""
+    return written(cleaned(spark, d, columns, extra), "clean")
+
+
 def sides(spark: SparkSession, d: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
     """The reference and the current loans."""
-    df = cleaned(spark, d, columns, ["side"])
+    df = staged(spark, d, columns, ["side"])
     return tuple(df.where(F.col("side") == s).select(*columns) for s in ("ref", "cur"))
 
 
@@ -237,12 +242,12 @@ SCALED = ["loan_amnt", "annual_inc", "dti", "revol_bal", "pub_rec"]
 
 @query
 def impute_mean(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(impute.impute_mean(cleaned(spark, d, GAPS, ["id"]), GAPS).drop("loan_status"))
+    return rounded(impute.impute_mean(staged(spark, d, GAPS, ["id"]), GAPS).drop("loan_status"))
 
 
 @query
 def impute_median(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(impute.impute_median(cleaned(spark, d, GAPS, ["id"]), GAPS).drop("loan_status"))
+    return rounded(impute.impute_median(staged(spark, d, GAPS, ["id"]), GAPS).drop("loan_status"))
 
 
 @query
@@ -252,7 +257,7 @@ def impute_mode(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _scaled(spark: SparkSession, d: str, scaler) -> DataFrame:
-    return rounded(scaler(cleaned(spark, d, SCALED, ["id"]), SCALED).drop("loan_status"))
+    return rounded(scaler(staged(spark, d, SCALED, ["id"]), SCALED).drop("loan_status"))
 
 
 @query
@@ -273,19 +278,19 @@ def scale_standard(spark: SparkSession, d: str) -> DataFrame:
 @query
 def scale_yeo_johnson(spark: SparkSession, d: str) -> DataFrame:
     names = ["loan_amnt", "annual_inc", "dti", "revol_bal"]
-    return scale.scale_yeo_johnson(cleaned(spark, d, names, ["id"]), names).drop("loan_status")
+    return scale.scale_yeo_johnson(staged(spark, d, names, ["id"]), names).drop("loan_status")
 
 
 @query
 def encode_ordinal(spark: SparkSession, d: str) -> DataFrame:
-    df = cleaned(spark, d, ["grade", "addr_state"], ["id", "side"])
+    df = staged(spark, d, ["grade", "addr_state"], ["id", "side"])
     fit_on = df.where((F.col("side") == "ref") & (F.col("grade") != "D"))
     return encode.encode_ordinal(df, ["grade", "addr_state"], fit_on).drop("loan_status", "side")
 
 
 @query
 def encode_onehot(spark: SparkSession, d: str) -> DataFrame:
-    df = cleaned(spark, d, ["grade", "home_ownership"], ["id", "side"])
+    df = staged(spark, d, ["grade", "home_ownership"], ["id", "side"])
     fit_on = df.where(F.col("grade") != "D")
     return encode.encode_onehot(df, ["grade", "home_ownership", "side"], fit_on).drop("loan_status")
 
@@ -309,23 +314,23 @@ def feature_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def split_random(spark: SparkSession, d: str) -> DataFrame:
-    return split.split_rows(cleaned(spark, d, [], ["id"]), KEY, SEED).select("id", "split")
+    return split.split_rows(staged(spark, d, [], ["id"]), KEY, SEED).select("id", "split")
 
 
 @query
 def split_stratified(spark: SparkSession, d: str) -> DataFrame:
-    df = cleaned(spark, d, ["grade"], ["id"])
+    df = staged(spark, d, ["grade"], ["id"])
     return split.split_rows(df, KEY, SEED, stratum="grade").select("id", "grade", "split")
 
 
 @query
 def split_trainval(spark: SparkSession, d: str) -> DataFrame:
-    return split.split_trainval(split.split_rows(cleaned(spark, d, [], ["id"]), KEY, SEED)).select("id")
+    return split.split_trainval(split.split_rows(staged(spark, d, [], ["id"]), KEY, SEED)).select("id")
 
 
 @query
 def split_report(spark: SparkSession, d: str) -> DataFrame:
-    parts = split.split_rows(cleaned(spark, d, ["grade"], ["id"]), KEY, SEED, stratum="grade")
+    parts = split.split_rows(staged(spark, d, ["grade"], ["id"]), KEY, SEED, stratum="grade")
     return rounded(split.split_report(parts, "loan_status"))
 
 
@@ -412,7 +417,7 @@ def promotion_gate(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def numeric_stats(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(stats.numeric_stats(cleaned(spark, d, NUMERIC), NUMERIC), 5)
+    return rounded(stats.numeric_stats(staged(spark, d, NUMERIC), NUMERIC), 5)
 
 
 @query
@@ -433,7 +438,7 @@ def missing_report(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def describe(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(stats.describe(cleaned(spark, d, NUMERIC), NUMERIC), 5)
+    return rounded(stats.describe(staged(spark, d, NUMERIC), NUMERIC), 5)
 
 
 @query
@@ -443,7 +448,7 @@ def schema_report(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def table_profile(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(stats.table_profile(cleaned(spark, d, NUMERIC + CATEGORICAL)))
+    return rounded(stats.table_profile(staged(spark, d, NUMERIC + CATEGORICAL)))
 
 
 @query
@@ -727,12 +732,12 @@ def shap_table(spark: SparkSession, d: str) -> DataFrame:
 @query
 def impute_knn(spark: SparkSession, d: str) -> DataFrame:
     names = ["loan_amnt", "annual_inc", "dti", "revol_util", "revol_bal", "total_acc"]
-    return knn.impute_knn(cleaned(spark, d, names, ["id"]), names, "id").drop("loan_status")
+    return knn.impute_knn(staged(spark, d, names, ["id"]), names, "id").drop("loan_status")
 
 
 @query
 def preprocess(spark: SparkSession, d: str) -> DataFrame:
-    df = cleaned(spark, d, NUMERIC + CATEGORICAL, ["id"])
+    df = staged(spark, d, NUMERIC + CATEGORICAL, ["id"])
     return prep.preprocess(df, "id", imputation="median", scaling="robust")
 
 
