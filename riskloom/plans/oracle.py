@@ -600,6 +600,72 @@ def _build() -> dict[str, str]:
           coalesce(imps.names, '') AS changed_features FROM data, con, imps"""
     )
 
+    # tables about tables
+    view_types = types | {"score_milli": "bigint"}
+    texts = ["id", "term", "int_rate", "grade", "emp_length", "home_ownership", "issue_d", "earliest_cr_line",
+             "loan_status", "purpose", "addr_state", "revol_util", "side"]
+    places = "CASE feature " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(every)) + " END AS position"
+    kinds = {c: "string" if c in texts else view_types.get(c, "double") for c in every}
+    kind = "CASE feature " + " ".join(f"WHEN '{c}' THEN '{t}'" for c, t in kinds.items()) + " END AS dtype"
+    out["schema_report"] = _raw(
+        f"""SELECT {places}, feature, {kind}, count(value) AS non_null, count(*) AS n_rows, 23 AS n_columns
+        FROM {_long(every, 'raw', '', 'VARCHAR')} GROUP BY feature"""
+    )
+    out["sink_report"] = _clean(
+        f"""SELECT feature, count(DISTINCT value) AS unique_count, least(count(DISTINCT value), 10) AS n_top
+        FROM {_long(CATEGORICAL, 'clean', '', 'VARCHAR')} GROUP BY feature"""
+    )
+    out["scan_zip_csv"] = _raw("SELECT id, term, grade, loan_status FROM raw")
+    out["reference_snapshot"] = _clean(
+        """SELECT 'data' AS part, count(*) AS n_rows, 17 AS n_columns FROM clean WHERE side='ref'
+        UNION ALL SELECT * FROM (VALUES ('numeric_stats', 13, 15), ('categorical_stats', 4, 5), ('importance', 13, 3),
+          ('metrics', 5, 2))"""
+    )
+    profiled = ["loan_status", *NUMERIC]
+    positions = ["loan_status", *NUMERIC, *CATEGORICAL]
+    place = "CASE feature " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(positions)) + " END AS position"
+    profile_types = {"loan_status": "int", **types, **{c: "string" for c in CATEGORICAL}}
+    profile_kind = (
+        "CASE feature " + " ".join(f"WHEN '{c}' THEN '{t}'" for c, t in profile_types.items()) + " ELSE 'double' END AS dtype"
+    )
+    out["table_profile"] = _clean(
+        f""", l AS {_long(positions, 'clean', '', 'VARCHAR')},
+        a AS (SELECT feature, count(value) AS non_null, count(*) AS n_rows, count(DISTINCT value) AS n_distinct FROM l GROUP BY feature),
+        t AS (SELECT feature, value, count(*) AS n FROM l WHERE value IS NOT NULL GROUP BY ALL),
+        m AS (SELECT feature, max(n) AS n_most_frequent FROM t GROUP BY feature),
+        x AS (SELECT feature, count(*) FILTER (value=0) AS n_zeros, count(*) FILTER (value<0) AS n_negative,
+          {_r('avg(value)', 'mean')}, {_r('stddev_samp(value)', 'std')}, {_r('min(value)', 'min')}, {_r('max(value)', 'max')}
+          FROM {_long(profiled)} GROUP BY feature)
+        SELECT {place}, feature, {profile_kind}, non_null, n_rows, 18 AS n_columns, n_distinct, n_most_frequent,
+          n_zeros, n_negative, "mean", "std", "min", "max" FROM a JOIN m USING (feature) LEFT JOIN x USING (feature)"""
+    )
+    # median fill, then median and quartiles of the filled column; every one-hot column from its sorted values
+    filled = ", ".join(f"coalesce({c}::DOUBLE, (SELECT quantile_cont({c}::DOUBLE, 0.5) FROM clean)) AS {c}" for c in NUMERIC)
+    fitted = ", ".join(
+        f"quantile_cont({c}, 0.5) AS {c}_a, quantile_cont({c}, 0.75)-quantile_cont({c}, 0.25) AS {c}_b" for c in NUMERIC
+    )
+    cells = ", ".join(_r(f"({c}-{c}_a)/CASE WHEN {c}_b=0 THEN 1 ELSE {c}_b END", c) for c in NUMERIC)
+    kinds_of = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+    hot = [f"CASE WHEN home_ownership='{v}' THEN 1::DOUBLE ELSE 0 END AS home_ownership_{v}" for v in segments]
+    hot += [f"CASE WHEN purpose='{v}' THEN 1::DOUBLE ELSE 0 END AS purpose_{v}" for v in kinds_of]
+    out["preprocess"] = _clean(
+        f""", filled AS (SELECT id, loan_status, grade, addr_state, home_ownership, purpose, {filled} FROM clean),
+        f AS (SELECT {fitted} FROM filled)
+        SELECT id, loan_status, {cells}, (dense_rank() OVER (ORDER BY grade) - 1)::INT AS grade,
+          (dense_rank() OVER (ORDER BY addr_state) - 1)::INT AS addr_state, {', '.join(hot)} FROM filled, f"""
+    )
+    # the isotonic fit at a score: the largest, over starts at or before it, of the smallest mean up to an end at or
+    # after it
+    out["calibrate_isotonic"] = _scored(
+        f""", g AS (SELECT p, sum(y) AS s, count(*) AS n FROM scored GROUP BY p),
+        c AS (SELECT p, n, row_number() OVER (ORDER BY p) AS i, sum(s) OVER (ORDER BY p) AS cs, sum(n) OVER (ORDER BY p) AS cn FROM g),
+        pairs AS (SELECT a.i AS a, b.i AS b, (b.cs-coalesce(z.cs,0))::DOUBLE/(b.cn-coalesce(z.cn,0)) AS m
+          FROM c a JOIN c b ON b.i>=a.i LEFT JOIN c z ON z.i=a.i-1),
+        lows AS (SELECT a, b AS i, min(m) OVER (PARTITION BY a ORDER BY b DESC) AS low FROM pairs),
+        fit AS (SELECT i, max(low) AS v FROM lows GROUP BY i)
+        SELECT {_r('p', 'score', 9)}, {_r('v', 'calibrated', 9)}, n AS n_rows FROM c JOIN fit USING (i)"""
+    )
+
     out["default_rate_by_grade"] = _clean(
         f"""SELECT grade, count(*) AS n_loans, {_r('avg(loan_status)', 'default_rate')},
         {_r('avg(int_rate)', 'mean_int_rate')}, {_r('avg(loan_amnt/(annual_inc+1))', 'mean_loan_to_income')},

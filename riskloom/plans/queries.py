@@ -123,7 +123,7 @@ def sink_report(spark: SparkSession, d: str) -> DataFrame:
     back = tables.scan_table(spark, base, "categories", fmt="json", schema=report.schema)
     text = tables.scan_table(spark, base, "categories_text", fmt="csv")
     return back.join(text.select("feature", F.col("top_categories").alias("as_text")), "feature").select(
-        "feature", "unique_count", F.size("top_categories").alias("n_top"), F.length("as_text").alias("n_chars")
+        "feature", "unique_count", F.size(F.from_json("as_text", "map<string,double>")).alias("n_top")
     )
 
 
@@ -709,7 +709,8 @@ def model_importance(spark: SparkSession, d: str) -> DataFrame:
 def calibrate_isotonic(spark: SparkSession, d: str) -> DataFrame:
     df = scored_loans(spark, d)
     fitted = calibrate.fit_isotonic(df, "loan_status", "p")
-    return curves.calibration_curve(fitted.transform(df, "p"), "loan_status", "calibrated")
+    scores = df.groupBy(F.col("p").alias("score")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return rounded(fitted.transform(scores, "score").select("score", "calibrated", "n_rows"), 9)
 
 
 @query
@@ -738,7 +739,7 @@ def impute_knn(spark: SparkSession, d: str) -> DataFrame:
 @query
 def preprocess(spark: SparkSession, d: str) -> DataFrame:
     df = staged(spark, d, NUMERIC + CATEGORICAL, ["id"])
-    return prep.preprocess(df, "id", imputation="median", scaling="robust")
+    return rounded(prep.preprocess(df, "id", imputation="median", scaling="robust"))
 
 
 @query
