@@ -14,18 +14,16 @@ from pyspark.sql import functions as F
 from riskloom.operators import encode, impute, knn, scale
 from riskloom.schema import ORDINAL_COLUMNS, TARGET, numeric_columns, string_columns
 
-IMPUTERS = ("knn", "median", "mean")
-SCALERS = ("robust", "minmax", "yeo-johnson", "standard")
-
 
 @dataclass
 class Preprocessor:
-    """``fit`` then ``transform``; any other imputation name means the mean, any other scaling name standardising."""
+    """``fit`` then ``transform``; ``keep`` names columns to pass through untouched; any other imputation name means the mean, any other scaling name standardising."""
 
     key: str
     imputation: str = "knn"
     scaling: str = "robust"
     target: str = TARGET
+    keep: tuple[str, ...] = ()
     numeric: list[str] = field(default_factory=list)
     ordinal: list[str] = field(default_factory=list)
     nominal: list[str] = field(default_factory=list)
@@ -33,7 +31,7 @@ class Preprocessor:
     base: DataFrame | None = None
 
     def fit(self, df: DataFrame) -> "Preprocessor":
-        skip = {self.key, self.target}
+        skip = {self.key, self.target, *self.keep}
         strings = [c for c in string_columns(df) if c not in skip]
         self.numeric = [c for c in numeric_columns(df) if c not in skip]
         self.ordinal = [c for c in strings if c in ORDINAL_COLUMNS]
@@ -82,7 +80,7 @@ class Preprocessor:
         out = encode.encode_onehot(out, self.nominal, fitted_on)
         shown = [c for c in out.columns if c not in before]
         first = [self.key, *self.numeric, *self.ordinal, *shown]
-        dropped = {c for c in string_columns(df) if c not in {self.key, self.target}}
+        dropped = {c for c in string_columns(df) if c not in {self.key, self.target, *self.keep}}
         rest = [c for c in out.columns if c not in first and c not in dropped]
         return out.select(*first, *rest)
 
