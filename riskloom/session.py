@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
+SPREAD_SPLITS = 8
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -57,11 +58,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition a scan that has fewer splits than cores; larger scans are left alone."""
+    """Repartition a scan of very few splits over the cores, so one small file does not keep all work in one task.
+
+    A scan with more than ``SPREAD_SPLITS`` splits is left alone: what moves is bounded by that many split sizes.
+    """
+    splits = df.rdd.getNumPartitions()
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if splits > SPREAD_SPLITS or splits >= cores:
         return df
-    return df.repartition(cores, *keys)
+    return df.repartition(min(cores, 4 * SPREAD_SPLITS), *keys)
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
