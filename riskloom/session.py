@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,13 +45,82 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/riskloom/{name}-{uuid.uuid4().hex}"
 
 
+_scopes: list[list[str]] = []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system its path names; a missing one is fine."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a written table: computed once, lineage cut, safe against lost executors."""
+    """``df`` as a written table: computed once, lineage cut, safe against lost executors.
+
+    It stays until the ``scope`` around it ends, or for good where there is none.
+    """
     path = work_path(df.sparkSession, name)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scope(spark: SparkSession):
+    """Delete every table that ``written`` made inside, once the block has consumed its results."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete_folder(spark, path)
+
+
+class Scratch:
+    """Tables of one operator run, in one shared folder that goes when the block ends; results are kept with ``result``.
+
+    Inside, Spark drops the shuffle files of each finished write, and Arrow batches stay small in rows and bytes.
+    """
+
+    SETTINGS = {
+        "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    }
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name = spark, name
+        self.root = work_path(spark, name)
+        self._before: dict[str, str | None] = {}
+
+    def __enter__(self) -> Scratch:
+        for key, value in self.SETTINGS.items():
+            self._before[key] = self.spark.conf.get(key, None)
+            self.spark.conf.set(key, value)
+        return self
+
+    def __exit__(self, *_) -> None:
+        for key, value in self._before.items():
+            if value is None:
+                self.spark.conf.unset(key)
+            else:
+                self.spark.conf.set(key, value)
+        delete_folder(self.spark, self.root)
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}-{uuid.uuid4().hex}"
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.path(name)
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def result(self, df: DataFrame) -> DataFrame:
+        """``df`` written outside the folder, so it outlives the block."""
+        return written(df, self.name)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Let iterative estimators cut their lineage; keeps a folder that is already set."""
     if not spark.sparkContext.getCheckpointDir():
