@@ -517,10 +517,11 @@ def _marks(corpus: DataFrame, scratch: Scratch, length: int, group_segments: int
     found = found.select(*key, F.arrays_zip("starts", "ends").alias("ranges"))
     found = scratch.table(found.union(_hot_marks(cut.where("hot"), key, length)), "found")
 
-    whole = kinds.where("n > 1").select(*key, F.lit(True).alias("whole"))
-    placed = segments.join(whole, key, "left").join(found, key, "left")
-    all_of_it = F.array(F.struct(F.lit(0).alias("starts"), F.col("windows").alias("ends")))
-    placed = placed.withColumn("range", F.explode(F.when(F.col("whole"), all_of_it).otherwise(F.col("ranges"))))
+    all_of_it = F.array(F.struct(F.lit(0).alias("starts"), F.col("at.windows").alias("ends")))
+    whole = kinds.where("n > 1").select(*key, all_of_it.alias("ranges"))
+    decided = whole.unionByName(found.join(whole.select(*key), key, "left_anti"))
+    # one join, whose side of many segments Spark can split where a passage is hot
+    placed = segments.join(decided, key).withColumn("range", F.explode("ranges"))
     mark = F.struct((F.col("low") + F.col("range.starts")).alias("a"), (F.col("low") + F.col("range.ends")).alias("b"))
     return placed.groupBy("k1", "k2").agg(F.collect_list(mark).alias("marks"))
 
