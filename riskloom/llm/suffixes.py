@@ -30,8 +30,8 @@ from riskloom.session import Scratch
 LENGTH = 200
 GRAM = 32
 GROUP_SEGMENTS = 20_000
-#: Suffixes sorted together; whole groups, so a larger group makes a larger batch.
-SORT_BATCH = 1 << 19
+#: Suffixes gathered and sorted together, if no group is larger.
+SORT_BATCH = 1 << 17
 
 _PLACE_BITS = 28
 _TEXT = "k1 long, k2 long, text string, copies long, anchor array<long>, place array<int>, low array<int>, high array<int>"
@@ -182,8 +182,8 @@ class Suffixes:
     def same_bytes(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         span = np.arange(self.length)
         out = np.zeros(len(i), bool)
-        for a in range(0, len(i), 1 << 14):
-            rows = slice(a, a + (1 << 14))
+        for a in range(0, len(i), 1 << 12):
+            rows = slice(a, a + (1 << 12))
             out[rows] = (self.data[i[rows, None] + span] == self.data[j[rows, None] + span]).all(axis=1)
         return out
 
@@ -265,24 +265,41 @@ def _runs(values: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _sorted_marks(table: pa.Table, length: int) -> pa.RecordBatch:
-    """Repeated windows of segments, which come grouped by ``key``."""
-    column = table.column("bytes").combine_chunks()
-    data, offsets = strings(column)
+    """Repeated windows of segments, which come grouped by ``key``.
+
+    Equal windows of a group have their anchor at the same distance, so windows of different distances are never
+    compared and are sorted one range of distances after the other.
+    """
+    data, offsets = strings(table.column("bytes").combine_chunks())
+    suffixes = Suffixes(data, length)
     windows = np.diff(offsets) - length + 1
     key = table.column("key").to_numpy()
     group = np.cumsum(np.concatenate(([0], key[1:] != key[:-1])))
-    place = table.column("place").to_numpy()
-    row = np.repeat(np.arange(len(windows)), windows)
-    window = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
-    # equal windows of a group have their anchor at the same place, so each distance to it is a block of its own
-    distance = place[row] - window
-    order = np.lexsort((row, distance, group[row]))
-    row, window, distance = row[order], window[order], distance[order]
-    block = np.cumsum(np.concatenate(([0], (np.diff(group[row]) != 0) | (np.diff(distance) != 0)))) if len(row) else row
-    count = np.bincount(block) if len(row) else row
-    several = count[block] > 1
-    starts, block = (offsets[row] + window)[several], block[several]
-    found = np.sort(repeated_starts(Suffixes(data, length), starts, block))
+    place = table.column("place").to_numpy().astype(np.int64)
+    most = int(place.max()) + 1
+    per_distance = np.zeros(most + 1, np.int64)
+    np.add.at(per_distance, place - windows + 1, 1)
+    np.add.at(per_distance, place + 1, -1)
+    totals = np.cumsum(np.cumsum(per_distance[:most]))
+    found, low = [], 0
+    while low < most:
+        before = totals[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(totals, before + SORT_BATCH, "right")))
+        # windows whose anchor is at least low and less than high bytes after their start
+        first = np.maximum(place - high + 1, 0)
+        count = np.maximum(np.minimum(place - low, windows - 1) - first + 1, 0)
+        row = np.repeat(np.arange(len(count)), count)
+        window = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + first[row]
+        order = np.lexsort((row, place[row] - window, group[row]))
+        row, window = row[order], window[order]
+        distance = place[row] - window
+        new = np.ones(len(row), bool)
+        new[1:] = (group[row[1:]] != group[row[:-1]]) | (distance[1:] != distance[:-1])
+        block = np.cumsum(new) - 1
+        several = np.bincount(block)[block] > 1 if len(row) else new
+        found.append(repeated_starts(suffixes, (offsets[row] + window)[several], block[several]))
+        low = high
+    found = np.sort(np.concatenate(found))
     owner = np.searchsorted(offsets, found, "right") - 1
     owner, a, b = _runs(found, owner)
     a, b = a - offsets[owner], b - offsets[owner]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 BYTE_WORDS = np.random.Generator(np.random.PCG64(20240611)).integers(1, 1 << 64, 256, dtype=np.uint64)
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 
 #: Fixed: what separates words, and A-Z to a-z.
 BREAKS = np.zeros(256, bool)
