@@ -25,7 +25,12 @@ from riskloom.session import BROADCAST_ROWS, Scratch
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 300_000
+CACHED_CHUNKS = 800_000
+WORDS_A_CALL = 1_000
+#: Punctuation that is a unit of the tokenizer on its own when it follows letters (no apostrophe: it may begin one).
+TAIL = ".,;:!?|*#%&-_()[]{}/+=<>"
+#: Fixed: how the special tokens of the file begin.
+SPECIAL = "<|"
 SALTS = 16
 
 _tokenizers: dict[str, tuple] = {}
@@ -37,28 +42,67 @@ def _tokenizer(path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {"": b""})
+        _tokenizers[path] = (Tokenizer.from_file(path), {b"": b""})
     return _tokenizers[path]
 
 
+def _letters_and_tail(chunk: bytes) -> tuple[str, str]:
+    """A chunk as letters and the punctuation after them; no letters where it is not of that form."""
+    text = chunk.decode()
+    letters = text.rstrip(TAIL)
+    return (letters, text[len(letters) :]) if letters.isalpha() else ("", text)
+
+
+def _learn(tokenizer, cache: dict[bytes, bytes], chunks: list[bytes]) -> None:
+    """Put the ids of ``chunks`` into the cache.
+
+    Letters are one unit of the tokenizer and what follows them another, so both are encoded for themselves: the units of
+    letters many to a call, told apart by their number.
+    """
+    parts = {chunk: _letters_and_tail(chunk) for chunk in chunks}
+    words = list(dict.fromkeys(w for w, _ in parts.values() if w and w.encode() not in cache))
+    for i in range(0, len(words), WORDS_A_CALL):
+        some = words[i : i + WORDS_A_CALL]
+        encoded = tokenizer.encode(" ".join(some), add_special_tokens=False)
+        unit, ids = np.array(encoded.word_ids, np.int64), np.array(encoded.ids, "<u4")
+        if len(unit) and unit[-1] == len(some) - 1:
+            cuts = np.searchsorted(unit, np.arange(len(some) + 1)).tolist()
+            found = [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+        else:
+            found = [_ids(e) for e in tokenizer.encode_batch(some, add_special_tokens=False)]
+        cache.update(zip((w.encode() for w in some), found))
+    rest = list(dict.fromkeys(t for _, t in parts.values() if t and t.encode() not in cache))
+    cache.update(zip((t.encode() for t in rest), map(_ids, tokenizer.encode_batch(rest, add_special_tokens=False))))
+    for chunk, (letters, tail) in parts.items():
+        if letters and tail:
+            cache[chunk] = cache[letters.encode()] + cache[tail.encode()]
+
+
+def _ids(encoded) -> bytes:
+    return np.array(encoded.ids, "<u4").tobytes()
+
+
 def token_bytes(texts: list[str | None], path: str) -> list[bytes]:
     """The ids of each text as little-endian 32-bit numbers.
 
-    The tokenizer drops white space and never joins ids across it, so each run between spaces or line feeds is encoded
-    once and looked up after that.
+    The tokenizer lower-cases, drops white space and never joins ids across it, so each run between spaces or line feeds
+    is encoded once and looked up after that. Texts that may hold a special token are encoded whole.
     """
     tokenizer, cache = _tokenizer(path)
-    split = [(t or "").replace("\n", " ").split(" ") for t in texts]
     out = []
-    for words in split:
-        new = [w for w in dict.fromkeys(words) if w not in cache]
-        if len(cache) + len(new) > CACHED_WORDS:
+    for text in texts:
+        if text and SPECIAL in text:
+            out.append(_ids(tokenizer.encode(text, add_special_tokens=False)))
+            continue
+        chunks = (text or "").encode().lower().replace(b"\n", b" ").split(b" ")  # bytes lower-case A to Z alone
+        new = [c for c in dict.fromkeys(chunks) if c not in cache]
+        if len(cache) + len(new) > CACHED_CHUNKS:
             cache.clear()
-            cache[""] = b""
-            new = [w for w in dict.fromkeys(words) if w]
-        for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            cache[w] = np.array(e.ids, "<u4").tobytes()
-        out.append(b"".join(map(cache.__getitem__, words)))
+            cache[b""] = b""
+            new = [c for c in dict.fromkeys(chunks) if c]
+        if new:
+            _learn(tokenizer, cache, new)
+        out.append(b"".join(map(cache.__getitem__, chunks)))
     return out
 
 
