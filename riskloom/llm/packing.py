@@ -25,7 +25,7 @@ from riskloom.session import BROADCAST_ROWS, Scratch
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_CHUNKS = 800_000
+CACHED_CHUNKS = 300_000
 WORDS_A_CALL = 1_000
 #: Punctuation that is a unit of the tokenizer on its own when it follows letters (no apostrophe: it may begin one).
 TAIL = ".,;:!?|*#%&-_()[]{}/+=<>"

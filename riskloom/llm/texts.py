@@ -88,6 +88,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, limit: int = PIECE_BYTE
             end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + limit, "right")) - 1)
             yield batch.slice(start, end - start)
             start = end
+    pa.default_memory_pool().release_unused()  # workers live on for the next task
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
