@@ -25,10 +25,13 @@ from riskloom.session import BROADCAST_ROWS, Scratch
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_CHUNKS = 300_000
+CACHED_CHUNKS = 800_000
+#: As many may wait in a worker for its next task.
+WAITING_CHUNKS = 100_000
 WORDS_A_CALL = 1_000
+BATCH_BYTES = 2 << 20
 #: Punctuation that is a unit of the tokenizer on its own when it follows letters (no apostrophe: it may begin one).
-TAIL = ".,;:!?|*#%&-_()[]{}/+=<>"
+TAIL = b".,;:!?|*#%&-_()[]{}/+=<>"
 #: Fixed: how the special tokens of the file begin.
 SPECIAL = "<|"
 SALTS = 16
@@ -46,36 +49,40 @@ def _tokenizer(path: str):
     return _tokenizers[path]
 
 
-def _letters_and_tail(chunk: bytes) -> tuple[str, str]:
-    """A chunk as letters and the punctuation after them; no letters where it is not of that form."""
-    text = chunk.decode()
-    letters = text.rstrip(TAIL)
-    return (letters, text[len(letters) :]) if letters.isalpha() else ("", text)
-
-
-def _learn(tokenizer, cache: dict[bytes, bytes], chunks: list[bytes]) -> None:
+def _learn(tokenizer, cache: dict[bytes, bytes], chunks: set[bytes]) -> None:
     """Put the ids of ``chunks`` into the cache.
 
-    Letters are one unit of the tokenizer and what follows them another, so both are encoded for themselves: the units of
-    letters many to a call, told apart by their number.
+    Letters are one unit of the tokenizer and punctuation after them another, so both are encoded for themselves: the
+    units of letters many to a call, told apart by their number. A chunk of another form is encoded as it is.
     """
-    parts = {chunk: _letters_and_tail(chunk) for chunk in chunks}
-    words = list(dict.fromkeys(w for w, _ in parts.values() if w and w.encode() not in cache))
+    ended, words, rest = [], set(), set()
+    for chunk in chunks:
+        letters = chunk.rstrip(TAIL)
+        if letters.isalpha() or letters.decode().isalpha():
+            words.add(letters)
+            if len(letters) < len(chunk):
+                tail = chunk[len(letters) :]
+                ended.append((chunk, letters, tail))
+                rest.add(tail)
+        else:
+            rest.add(chunk)
+    words = list(words.difference(cache))
     for i in range(0, len(words), WORDS_A_CALL):
         some = words[i : i + WORDS_A_CALL]
-        encoded = tokenizer.encode(" ".join(some), add_special_tokens=False)
-        unit, ids = np.array(encoded.word_ids, np.int64), np.array(encoded.ids, "<u4")
+        encoded = tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False)
+        unit, ids = np.array(encoded.word_ids, np.int64), np.array(encoded.ids, "<u4").tobytes()
         if len(unit) and unit[-1] == len(some) - 1:
-            cuts = np.searchsorted(unit, np.arange(len(some) + 1)).tolist()
-            found = [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+            cuts = (4 * np.searchsorted(unit, np.arange(len(some) + 1))).tolist()
+            cache.update(zip(some, [ids[a:b] for a, b in zip(cuts, cuts[1:])]))
         else:
-            found = [_ids(e) for e in tokenizer.encode_batch(some, add_special_tokens=False)]
-        cache.update(zip((w.encode() for w in some), found))
-    rest = list(dict.fromkeys(t for _, t in parts.values() if t and t.encode() not in cache))
-    cache.update(zip((t.encode() for t in rest), map(_ids, tokenizer.encode_batch(rest, add_special_tokens=False))))
-    for chunk, (letters, tail) in parts.items():
-        if letters and tail:
-            cache[chunk] = cache[letters.encode()] + cache[tail.encode()]
+            cache.update(_one_by_one(tokenizer, some))
+    cache.update(_one_by_one(tokenizer, rest.difference(cache)))
+    cache.update([(chunk, cache[letters] + cache[tail]) for chunk, letters, tail in ended])
+
+
+def _one_by_one(tokenizer, chunks) -> list[tuple[bytes, bytes]]:
+    encoded = tokenizer.encode_batch([c.decode() for c in chunks], add_special_tokens=False)
+    return [(c, _ids(e)) for c, e in zip(chunks, encoded)]
 
 
 def _ids(encoded) -> bytes:
@@ -89,21 +96,24 @@ def token_bytes(texts: list[str | None], path: str) -> list[bytes]:
     is encoded once and looked up after that. Texts that may hold a special token are encoded whole.
     """
     tokenizer, cache = _tokenizer(path)
-    out = []
-    for text in texts:
-        if text and SPECIAL in text:
-            out.append(_ids(tokenizer.encode(text, add_special_tokens=False)))
-            continue
-        chunks = (text or "").encode().lower().replace(b"\n", b" ").split(b" ")  # bytes lower-case A to Z alone
-        new = [c for c in dict.fromkeys(chunks) if c not in cache]
-        if len(cache) + len(new) > CACHED_CHUNKS:
-            cache.clear()
-            cache[b""] = b""
-            new = [c for c in dict.fromkeys(chunks) if c]
-        if new:
-            _learn(tokenizer, cache, new)
-        out.append(b"".join(map(cache.__getitem__, chunks)))
-    return out
+    # bytes lower-case A to Z alone
+    cut = [
+        None if t and SPECIAL in t else (t or "").encode().lower().replace(b"\n", b" ").split(b" ") for t in texts
+    ]
+    distinct = set().union(*(c for c in cut if c))
+    new = distinct.difference(cache)
+    if len(cache) + len(new) > CACHED_CHUNKS:
+        cache.clear()
+        cache[b""] = b""
+        new = distinct - {b""}
+    if new:
+        _learn(tokenizer, cache, new)
+    return [
+        b"".join(map(cache.__getitem__, chunks))
+        if chunks is not None
+        else _ids(tokenizer.encode(text, add_special_tokens=False))
+        for text, chunks in zip(texts, cut)
+    ]
 
 
 def _cut(path: str, capacity: int):
@@ -111,7 +121,7 @@ def _cut(path: str, capacity: int):
     most = 4 * capacity
 
     def run(batches):
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", BATCH_BYTES):
             ids, columns = batch.column("doc_id").to_pylist(), ([], [], [], [], [])
             for doc_id, raw in zip(ids, token_bytes(batch.column("text").to_pylist(), path)):
                 raw += end
@@ -122,6 +132,10 @@ def _cut(path: str, capacity: int):
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             arrays = [pa.array(c, t) for c, t in zip(columns, types)]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "piece", "start", "length", "ids_crc32"])
+        cache = _tokenizer(path)[1]
+        if len(cache) > WAITING_CHUNKS:
+            cache.clear()
+            cache[b""] = b""
 
     return run
 
