@@ -27,18 +27,17 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id, and one row of that id.
+    """One document of each group of near copies stays: a row of the smallest id.
 
-    Documents without words are no copies of each other and all stay. Rows without an id cannot be named: of a group that
-    has no id at all, one row of each text stays.
+    Where several rows of a group have that id, or none has an id, one text of them is taken, and one row of it.
+    Documents without words are no copies of each other and all stay.
     """
     names = docs.columns
     found = minhash.near_duplicates(docs, percent=NEAR_PERCENT).where("kept").withColumnRenamed("doc_id", "id")
-    blank = found.where("n_shingles = 0").select("id", "k1", "k2").distinct().withColumn("copies", F.lit(1).cast("long"))
-    unnamed = F.when(F.col("id").isNull(), F.col("k1"))
-    first = found.where("n_shingles > 0").groupBy("id", unnamed.alias("unnamed"))
-    first = first.agg(F.min(F.struct("k1", "k2")).alias("k"), F.count("*").alias("copies"))
-    stay = blank.union(first.select("id", "k.k1", "k.k2", "copies")).toDF("id", "t1", "t2", "copies")
+    blank = found.where("component is null").select("id", "k1", "k2", F.lit(1).cast("long").alias("copies")).distinct()
+    texts = found.where("component is not null").groupBy("component", "id", "k1", "k2").agg(F.count("*").alias("copies"))
+    first = texts.groupBy("component").agg(F.min(F.struct("id", "k1", "k2", "copies")).alias("first"))
+    stay = blank.union(first.select("first.*")).toDF("id", "t1", "t2", "copies")
 
     rows = docs.select(F.struct(*names).alias("row"), F.col("doc_id").cast("long").alias("doc"), *fingerprint(F.col("text")))
     same = F.col("doc").eqNullSafe(F.col("id")) & (F.col("k1") == F.col("t1")) & (F.col("k2") == F.col("t2"))

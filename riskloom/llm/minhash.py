@@ -208,10 +208,11 @@ def _texts_of(classes: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFram
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, k1, k2, n_shingles, component_id, kept)`` for every row of ``docs(doc_id, text, …)``.
+    """``(doc_id, k1, k2, n_shingles, component, component_id, kept)`` for every row of ``docs(doc_id, text, …)``.
 
     Two documents are linked when the shared part of their shingle sets is at least ``percent`` hundredths of the union;
-    ``component_id`` is the smallest ``doc_id`` that links lead to. ``k1, k2`` are the fingerprint of the text.
+    ``component_id`` is the smallest ``doc_id`` that links lead to. ``k1, k2`` are the fingerprint of the text,
+    ``component`` numbers the groups of this run (null without shingles).
 
     - null, empty and blank texts: no shingles, linked with nothing, each kept;
     - fewer than ``shingle`` words: the whole sequence is the one shingle;
@@ -266,10 +267,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE)
         node_ids = classes.select("node", "least", "f1", "f2").join(found, "node", "left")
         node_ids = node_ids.withColumn("component", F.coalesce("component", "node"))
         smallest = node_ids.groupBy("component").agg(F.min("least").alias("component_id"))
-        of_class = node_ids.join(smallest, "component").select("f1", "f2", "component_id")
+        of_class = node_ids.join(smallest, "component").select("f1", "f2", "component", "component_id")
         rows = sketches.select("doc_id", "k1", "k2", "n_shingles", "f1", "f2").join(of_class, ["f1", "f2"], "left")
         own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-        rows = rows.select("doc_id", "k1", "k2", "n_shingles", own.alias("component_id"))
+        rows = rows.select("doc_id", "k1", "k2", "n_shingles", "component", own.alias("component_id"))
         return scratch.result(rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 

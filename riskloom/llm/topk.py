@@ -24,6 +24,7 @@ DIMENSIONS = 8
 FIRST_CANDIDATES = 256
 _EXACT = 2.0**53
 _LONG = (-(1 << 63), (1 << 63) - 1)
+_HUGE = 1 << 1000
 
 
 def scaled(vectors: list[list[float]]) -> np.ndarray:
@@ -36,7 +37,7 @@ def scaled(vectors: list[list[float]]) -> np.ndarray:
 
 
 def block_top(queries: np.ndarray, query_ids, candidates: np.ndarray, ids: np.ndarray, k: int):
-    """``(query, candidate, score)`` of the ``k`` best candidates of each query, ties to the smaller id.
+    """``(query, candidate, score, score as double)`` of the ``k`` best candidates of each query, ties to the smaller id.
 
     Both sides hold whole numbers as doubles. Sums stay exact while they are below 2^53; larger components are summed as
     Python integers without pruning.
@@ -45,7 +46,7 @@ def block_top(queries: np.ndarray, query_ids, candidates: np.ndarray, ids: np.nd
     ids, candidates = ids[order], candidates[order]
     width = max(queries.shape[1], candidates.shape[1])
     queries, candidates = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (queries, candidates))
-    most = np.abs(queries).max(initial=0) * np.abs(candidates).max(initial=0) * max(width, 1)
+    most = float(np.abs(queries).max(initial=0)) * float(np.abs(candidates).max(initial=0)) * max(width, 1)
     if not most < _EXACT:
         yield from _wide_top(queries, query_ids, candidates, ids, k)
         return
@@ -69,7 +70,7 @@ def block_top(queries: np.ndarray, query_ids, candidates: np.ndarray, ids: np.nd
                 alive, score = alive[keep], score[keep]
         best = np.lexsort((ids[alive], -score))[:k]
         for j in best:
-            yield query_id, ids[alive[j]], int(score[j])
+            yield query_id, ids[alive[j]], int(score[j]), score[j]
 
 
 def _wide_top(queries, query_ids, candidates, ids, k):
@@ -78,7 +79,7 @@ def _wide_top(queries, query_ids, candidates, ids, k):
         q = [int(x) for x in q]
         scores = [(-sum(x * y for x, y in zip(q, c)), i) for c, i in zip(whole, ids) if i != query_id]
         for score, i in sorted(scores)[:k]:
-            yield query_id, i, min(max(-score, _LONG[0]), _LONG[1])
+            yield query_id, i, min(max(-score, _LONG[0]), _LONG[1]), float(min(max(-score, -_HUGE), _HUGE))
 
 
 def _group(k: int):
@@ -89,7 +90,8 @@ def _group(k: int):
             scaled(list(asking["vector"])), asking["vec_id"].to_numpy(),
             scaled(list(offered["vector"])), offered["vec_id"].to_numpy(), k,
         ) if len(asking) and len(offered) else ()
-        out = pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
+        out = pd.DataFrame(found, columns=["query_id", "vec_id", "score", "wide"])
+        out = out.astype({"query_id": "int64", "vec_id": "int64", "score": "int64", "wide": "float64"})
         return pa.Table.from_pandas(out, preserve_index=False)
 
     return run
@@ -108,7 +110,8 @@ def top_products(vectors: DataFrame, k: int = TOP, every: int = EVERY) -> DataFr
     product of ``floor(256 x)`` of the components as doubles; ties go to the smaller id.
 
     - null vectors, and those with null or non-finite components: no part; empty vectors: all scores 0;
-    - vectors of different lengths: the shorter ends in zeros; scores beyond a long: its nearest end;
+    - vectors of different lengths: the shorter ends in zeros; scores beyond a long: its nearest end,
+      in the order of their doubles;
     - null ids: no part; rows that repeat an id: each is a candidate, and the copies of a query answer as one query;
     - fewer than ``k`` candidates: all; no rows: no rows; other columns are ignored.
     """
@@ -127,9 +130,9 @@ def top_products(vectors: DataFrame, k: int = TOP, every: int = EVERY) -> DataFr
             each(blocks).alias("c"), F.pmod(h, F.lit(query_blocks)).alias("q"), F.lit(True).alias("asks"), "vec_id", "vector"
         )
         found = offered.unionByName(queries).groupBy("c", "q").applyInArrow(
-            _group(k), "query_id long, vec_id long, score long"
+            _group(k), "query_id long, vec_id long, score long, wide double"
         )
         found = scratch.table(found, "found")
-        order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+        order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("wide").desc(), "vec_id")
         ranks = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         return scratch.result(ranks.select("query_id", "rank", "vec_id", "score"))
