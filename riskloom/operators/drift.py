@@ -103,13 +103,13 @@ def moment_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str
 
 def moment_drift_from_stats(ref: DataFrame, cur: DataFrame) -> DataFrame:
     """``ref`` has (feature, ref_mean, ref_std) and ``cur`` (feature, cur_mean, cur_std); a zero deviation divides
-    nothing."""
+    nothing, a moment that a side does not have (no value, or one value alone) gives 0."""
     both = ref.join(cur, "feature")
     unit = F.when(F.col("ref_std") > 0, F.col("ref_std")).otherwise(F.lit(1.0))
     moved = F.abs(F.col("cur_mean") - F.col("ref_mean")) / unit
     spread = F.abs(F.col("cur_std") - F.col("ref_std")) / unit
     score = F.lit(MEAN_WEIGHT) * moved + F.lit(STD_WEIGHT) * spread
-    return both.select("feature", _capped(score).alias("drift_score"))
+    return both.select("feature", _capped(F.coalesce(score, F.lit(0.0))).alias("drift_score"))
 
 
 def _paired_categories(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -270,7 +270,7 @@ def category_compare(
     distinct = sided.groupBy("feature").agg(F.count(F.lit(1)).alias("n_values"))
     leading = category_frequencies(_both(reference, current, names), names, ["side"], top)
     leading = leading.select("feature", "value", F.lit(True).alias("leading")).distinct()
-    marked = sided.join(distinct, "feature").join(leading, ["feature", "value"], "left")
+    marked = sided.join(F.broadcast(distinct), "feature").join(leading, ["feature", "value"], "left")
     shown = marked.where((F.col("n_values") <= top) | F.col("leading"))
     return shown.select("feature", "value", "ref_freq", "cur_freq")
 

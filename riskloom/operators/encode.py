@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.session import BROADCAST_ROWS, ensure_checkpoint_dir
+from riskloom.session import BROADCAST_ROWS, checked_broadcast, ensure_checkpoint_dir
 
-DENSE_CATEGORIES = 200
+#: Columns that one string column may become.
+MOST_DENSE = 10_000
 UNKNOWN = -1
 
 
@@ -42,53 +44,74 @@ def fit_categories(df: DataFrame, column: str, max_collected: int = BROADCAST_RO
     return F.broadcast(df.sparkSession.createDataFrame([(v, i) for i, v in enumerate(ranked)], schema))
 
 
-def encode_ordinal(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
-    """Values -> 0, 1, 2 … in sorted order; a value the fit has not seen, or null, becomes -1."""
-    base = df if fit_on is None else fit_on
+def fit_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(feature, value, code)``: the codes of several columns as one table that can be stored."""
+    found = df.sparkSession.createDataFrame([], "feature string, value string, code bigint")
+    for c in columns:
+        codes = fit_categories(df, c)
+        found = found.unionByName(codes.select(F.lit(c).alias("feature"), codes[0].alias("value"), "code"))
+    return found
+
+
+def apply_codes(df: DataFrame, columns: Sequence[str], codes: DataFrame) -> DataFrame:
+    """Values -> their codes of ``fit_codes``; a value the fit has not seen, or null, becomes -1."""
     order = df.columns
     for c in columns:
-        codes = fit_categories(base, c).withColumnRenamed("code", "_code")
-        df = df.join(codes, c, "left").withColumn(c, F.coalesce("_code", F.lit(UNKNOWN)).cast("int")).select(*order)
+        own = codes.where(F.col("feature") == c).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+        joined = df.join(checked_broadcast(own), F.col(quoted(c)) == F.col("_value"), "left")
+        code = F.coalesce("_code", F.lit(UNKNOWN)).cast("int")
+        df = joined.select(*[code.alias(o) if o == c else F.col(quoted(o)) for o in order])
     return df
 
 
-def category_list(df: DataFrame, column: str, most: int) -> list[str] | None:
-    """The sorted distinct values, or None when there are more than ``most``."""
-    rows = df.where(F.col(column).isNotNull()).select(column).distinct().limit(most + 1).collect()
-    if len(rows) > most:
-        return None
-    return sorted((r[0] for r in rows), key=lambda v: v.encode("utf-8"))
+def encode_ordinal(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
+    """Values -> 0, 1, 2 … in sorted order; a value the fit has not seen, or null, becomes -1."""
+    return apply_codes(df, columns, fit_codes(df if fit_on is None else fit_on, columns))
 
 
-def onehot_name(column: str, value: str) -> str:
-    return f"{column}_{value}"
+def quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
 
 
-def encode_onehot(
-    df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None, dense: int = DENSE_CATEGORIES
-) -> DataFrame:
-    """One 0/1 column per value, named ``column_value``, in place of each column; two values give one column, for the
-    larger. Unknown values and nulls are all zeros.
+def onehot_name(column: str, value: str) -> str:
+    """A name that no other column and value share and that needs no quoting: what is not a letter, digit or blank of the
+    value is percent-encoded, underscores included."""
+    safe = quote(value, safe=" ")
+    for c in "_.-~":
+        safe = safe.replace(c, f"%{ord(c):02X}")
+    return f"{column}_{safe}"
 
-    A column with more than ``dense`` values keeps every category too, but in sparse form: ``column_index`` is the
-    place of the one (null for unknown values) and the width is the number of rows of ``fit_categories``.
-    """
-    base = df if fit_on is None else fit_on
+
+def fit_onehot(df: DataFrame, columns: Sequence[str], most: int = MOST_DENSE) -> dict[str, list[str]]:
+    """The sorted values of each column. More than ``most`` values in a column are an error, never another encoding."""
+    found = {}
     for c in columns:
-        values = category_list(base, c, dense)
-        if values is None:
-            codes = fit_categories(base, c).withColumnRenamed("code", f"{c}_index")
-            df = df.join(codes, c, "left").drop(c)
-            continue
-        shown = values[1:] if len(values) == 2 else values
-        flags = {onehot_name(c, v): F.coalesce((F.col(c) == v).cast("double"), F.lit(0.0)) for v in shown}
-        df = (df.withColumns(flags) if flags else df).drop(c)
-    return df
+        name = quoted(c)
+        rows = df.where(F.col(name).isNotNull()).select(name).distinct().limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"{c} has more than {most} values; encode it by its order (encode_ordinal) instead")
+        found[c] = sorted((r[0] for r in rows), key=lambda v: v.encode("utf-8"))
+    return found
 
 
-def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """How many categories each column has: what decides between the dense and the sparse form."""
-    long = df.select(*columns).unpivot([], list(columns), "feature", "value").where(F.col("value").isNotNull())
-    return long.distinct().groupBy("feature").agg(F.count(F.lit(1)).alias("n_categories"))
+def apply_onehot(df: DataFrame, fitted: dict[str, list[str]]) -> DataFrame:
+    """One 0/1 column per value of ``fit_onehot`` in place of each column; unknown values and nulls are all zeros.
+
+    A column that is not encoded but named like a flag is an error.
+    """
+    flags = {}
+    for c, values in fitted.items():
+        for v in values[1:] if len(values) == 2 else values:
+            flags[onehot_name(c, v)] = F.coalesce((F.col(quoted(c)) == v).cast("double"), F.lit(0.0))
+    rest = [o for o in df.columns if o not in fitted]
+    if clash := sorted(set(rest) & set(flags)):
+        raise ValueError(f"columns named like one-hot columns: {clash}")
+    return df.select(*[F.col(quoted(o)) for o in rest], *[f.alias(n) for n, f in flags.items()])
 
 
+def encode_onehot(
+    df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None, most: int = MOST_DENSE
+) -> DataFrame:
+    """One 0/1 column per value, named by ``onehot_name``, in place of each column; two values give one column, for the
+    larger. Unknown values and nulls are all zeros. The form is the same at every size."""
+    return apply_onehot(df, fit_onehot(df if fit_on is None else fit_on, columns, most))

@@ -307,7 +307,8 @@ def _estimates(receivers: DataFrame, donors: DataFrame, xs: Sequence[str], k: in
     )
     requests = _requests(receivers.join(limits, "key", "left"), summary, xs, k, first=False)
     best = _search(written(requests, "knn-requests"), chunked, xs, k)
-    return best.groupBy("key", "column").agg(F.avg("value").alias("estimate"))
+    # written, or every pass over the filled table would search again
+    return written(best.groupBy("key", "column").agg(F.avg("value").alias("estimate")), "knn-estimates")
 
 
 def impute_knn(

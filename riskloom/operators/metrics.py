@@ -155,6 +155,14 @@ def objective_metric(df: DataFrame, label: str, score: str, metric: str) -> Data
     return counts.select(F.lit(metric).alias("metric"), _basic(*_cells())[metric].alias("value"))
 
 
+def objective_metrics(df: DataFrame, label: str, score: str) -> DataFrame:
+    """All metrics a search may maximise, ``(metric, value)``, from one count of the cells and one ranking."""
+    names = [m for m in METRICS if m != "auc"]
+    counts = _counts(df, label, score, THRESHOLD, (), strict=True)
+    cells = counts.select(*[_basic(*_cells())[m].alias(m) for m in names]).unpivot([], names, "metric", "value")
+    return objective_metric(df, label, score, "auc").unionByName(cells)
+
+
 def classification_report(df: DataFrame, label: str, score: str, threshold: float = THRESHOLD) -> DataFrame:
     """Precision, recall, F1 and support per class, with accuracy, macro and weighted averages: eight numbers' work
     on a four-cell aggregate, so the rest is arithmetic on one row."""

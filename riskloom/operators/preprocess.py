@@ -1,66 +1,78 @@
 """The fitted preprocessing of a feature table: numeric, ordinal and one-hot blocks, then what is left.
 
-Everything a fit learns is a handful of numbers and category tables, so applying it is projections and broadcast
-joins; only nearest-neighbour imputation needs the rows themselves.
+Everything a fit learns is a handful of numbers, category tables and, for nearest neighbours, the numeric columns of the
+rows it may look at. All of it can be stored and loaded, so new rows are treated by the fit and by nothing of their own.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators import encode, impute, knn, scale
 from riskloom.schema import ORDINAL_COLUMNS, TARGET, numeric_columns, string_columns
+from riskloom.session import written
+from riskloom.sources import tables
+
+_SETTINGS = ("key", "imputation", "scaling", "target", "keep", "given", "numeric", "ordinal", "nominal", "fitted")
 
 
 @dataclass
 class Preprocessor:
-    """``fit`` then ``transform``; ``keep`` names columns to pass through untouched; any other imputation name means the mean, any other scaling name standardising."""
+    """``fit`` then ``transform``; ``keep`` names columns to pass through untouched; any other imputation name means the
+    mean, any other scaling name standardising."""
 
     key: str
     imputation: str = "knn"
     scaling: str = "robust"
     target: str = TARGET
     keep: tuple[str, ...] = ()
+    given: list[str] = field(default_factory=list)
     numeric: list[str] = field(default_factory=list)
     ordinal: list[str] = field(default_factory=list)
     nominal: list[str] = field(default_factory=list)
     fitted: dict = field(default_factory=dict)
-    base: DataFrame | None = None
+    codes: DataFrame | None = None
+    donors: DataFrame | None = None
 
     def fit(self, df: DataFrame) -> "Preprocessor":
         skip = {self.key, self.target, *self.keep}
         strings = [c for c in string_columns(df) if c not in skip]
-        self.numeric = [c for c in numeric_columns(df) if c not in skip]
-        self.ordinal = [c for c in strings if c in ORDINAL_COLUMNS]
-        self.base = df
+        self.given = [c for c in numeric_columns(df) if c not in skip]
         self.fitted["mode"] = impute.fit_mode(df, strings)
         # a string column without any value cannot be encoded
-        self.ordinal = [c for c in self.ordinal if c in self.fitted["mode"]]
+        self.ordinal = [c for c in strings if c in ORDINAL_COLUMNS and c in self.fitted["mode"]]
         self.nominal = [c for c in strings if c not in ORDINAL_COLUMNS and c in self.fitted["mode"]]
 
-        if self.imputation == "median":
-            self.fitted["fill"] = impute.fit_median(df, self.numeric)
-        elif self.imputation != "knn":
-            self.fitted["fill"] = impute.fit_mean(df, self.numeric)
-        filled = self._impute(df)
-        names = [c for c in self.numeric if c in filled.columns]
+        if self.imputation == "knn":
+            self.donors = written(df.select(self.key, *map(F.col, map(encode.quoted, self.given))), "donors")
+        elif self.imputation == "median":
+            self.fitted["fill"] = impute.fit_median(df, self.given)
+        else:
+            self.fitted["fill"] = impute.fit_mean(df, self.given)
+        # filled once: the scales below read it several times
+        filled = written(self._impute(df.select(self.key, *self.given)), "filled")
+        self.numeric = [c for c in self.given if c in filled.columns]
         if self.scaling == "yeo-johnson":
-            self.fitted["powers"] = scale.fit_yeo_johnson(filled, names)
+            self.fitted["powers"] = scale.fit_yeo_johnson(filled, self.numeric)
             filled = filled.withColumns(self._powers())
-            self.fitted["scale"] = scale.fit_standard(filled, names)
+            self.fitted["scale"] = scale.fit_standard(filled, self.numeric)
         else:
             fits = {"robust": scale.fit_robust, "minmax": scale.fit_minmax}
-            self.fitted["scale"] = fits.get(self.scaling, scale.fit_standard)(filled, names)
-        self.numeric = names
+            self.fitted["scale"] = fits.get(self.scaling, scale.fit_standard)(filled, self.numeric)
+        encoded = [*self.ordinal, *self.nominal]
+        modes = impute.fill(df.select(*encoded), self.fitted["mode"], encoded) if encoded else df
+        self.fitted["onehot"] = encode.fit_onehot(modes, self.nominal)
+        self.codes = written(encode.fit_codes(modes, self.ordinal), "codes")
         return self
 
     def _impute(self, df: DataFrame) -> DataFrame:
         if self.imputation == "knn":
-            return knn.impute_knn(df, self.numeric, self.key, fit_on=self.base)
-        return impute.fill(df, self.fitted["fill"], self.numeric)
+            return knn.impute_knn(df, self.given, self.key, fit_on=self.donors)
+        return impute.fill(df, self.fitted["fill"], self.given)
 
     def _powers(self) -> dict:
         return {
@@ -68,21 +80,40 @@ class Preprocessor:
         }
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Key, numeric, ordinal, one-hot and passed-through columns, in that order."""
+        """Key, numeric, ordinal, one-hot and passed-through columns, in that order. Nothing is fitted on ``df``."""
         out = self._impute(df)
         powers = self._powers()
         out = scale.apply_scales(out.withColumns(powers) if powers else out, self.fitted["scale"])
         strings = [*self.ordinal, *self.nominal]
         out = impute.fill(out, self.fitted["mode"], strings) if strings else out
-        fitted_on = impute.fill(self.base, self.fitted["mode"], strings) if strings else self.base
-        out = encode.encode_ordinal(out, self.ordinal, fitted_on)
+        out = encode.apply_codes(out, self.ordinal, self.codes)
         before = set(out.columns)
-        out = encode.encode_onehot(out, self.nominal, fitted_on)
+        out = encode.apply_onehot(out, self.fitted["onehot"])
         shown = [c for c in out.columns if c not in before]
         first = [self.key, *self.numeric, *self.ordinal, *shown]
         dropped = {c for c in string_columns(df) if c not in {self.key, self.target, *self.keep}}
         rest = [c for c in out.columns if c not in first and c not in dropped]
-        return out.select(*first, *rest)
+        return out.select(*map(encode.quoted, [*first, *rest]))
+
+    def save(self, base: str, name: str) -> None:
+        """Store the fit as versioned tables below ``base``: settings and numbers, codes, and donors if it has any."""
+        spark = self.codes.sparkSession
+        state = json.dumps({k: getattr(self, k) for k in _SETTINGS})
+        tables.sink_table(self.codes, base, f"{name}_codes")
+        if self.donors is not None:
+            tables.sink_table(self.donors, base, f"{name}_donors")
+        # last, so that a state that can be read is whole
+        tables.sink_table(spark.createDataFrame([(state,)], "state string"), base, f"{name}_state")
+
+    @classmethod
+    def load(cls, spark: SparkSession, base: str, name: str) -> "Preprocessor":
+        state = json.loads(tables.scan_table(spark, base, f"{name}_state").first()[0])
+        state["keep"] = tuple(state["keep"])
+        fitted = cls(**state, codes=tables.scan_table(spark, base, f"{name}_codes"))
+        fitted.fitted["scale"] = {c: tuple(v) for c, v in fitted.fitted["scale"].items()}
+        if fitted.imputation == "knn":
+            fitted.donors = tables.scan_table(spark, base, f"{name}_donors")
+        return fitted
 
 
 def preprocess(

@@ -60,6 +60,7 @@ def scale_robust(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None
 
 GRID_POINTS = 33
 TOLERANCE = 1e-4
+MOST_POWER = 1_000.0
 
 
 def yeo_johnson(x: Column, power: Column) -> Column:
@@ -101,10 +102,10 @@ def fit_yeo_johnson(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     long = values.unpivot([], list(columns), "feature", "value").where(F.col("value").isNotNull())
     windows = {c: (-4.0, 4.0) for c in columns}
     found: dict[str, float] = {}
-    for _ in range(40):
-        open_windows = {c: w for c, w in windows.items() if w[1] - w[0] > TOLERANCE}
-        if not open_windows:
-            break
+    while open_windows := {c: w for c, w in windows.items() if w[1] - w[0] > TOLERANCE}:
+        widest = max(abs(edge) for w in open_windows.values() for edge in w)
+        if widest > MOST_POWER:
+            raise ValueError(f"no likeliest power below {MOST_POWER} for {sorted(open_windows)}")
         best = _best_powers(long.where(F.col("feature").isin(list(open_windows))), open_windows)
         for c, (low, high) in open_windows.items():
             if c not in best:  # no spread under any power

@@ -103,7 +103,7 @@ def category_frequencies(
     if top is not None:
         place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("n").desc(), F.col("value")))
         counts = counts.withColumn("place", place).where(F.col("place") <= top).drop("place")
-    return counts.join(totals, keys).select(
+    return counts.join(F.broadcast(totals), keys).select(
         *keys, "value", "n", (F.col("n") / F.col("n_rows")).alias("freq"), "n_distinct"
     )
 

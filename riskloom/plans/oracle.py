@@ -152,6 +152,7 @@ def _importance(source: str, name: str) -> str:
 # --- drift -------------------------------------------------------------------------------------
 
 SHIFTED = "(SELECT * REPLACE (CASE WHEN side='cur' THEN loan_amnt*1.3::DOUBLE ELSE loan_amnt END AS loan_amnt) FROM clean)"
+NO_CURRENT_UTIL = f"(SELECT * REPLACE (CASE WHEN side='ref' THEN revol_util END AS revol_util) FROM {SHIFTED})"
 SHIFTED_NUMERIC = [c for c in NUMERIC if c != "open_acc"]
 
 
@@ -533,8 +534,8 @@ def _build() -> dict[str, str]:
     out["moment_drift"] = _clean(
         f""", m AS (SELECT feature, avg(value) FILTER (side='ref') AS rm, stddev_samp(value) FILTER (side='ref') AS rs,
           avg(value) FILTER (side='cur') AS cm, stddev_samp(value) FILTER (side='cur') AS cs
-          FROM {_long(SHIFTED_NUMERIC, SHIFTED, 'side')} GROUP BY feature)
-        SELECT feature, {_r("least(0.7::DOUBLE*abs(cm-rm)/CASE WHEN rs>0 THEN rs ELSE 1 END + 0.3::DOUBLE*abs(cs-rs)/CASE WHEN rs>0 THEN rs ELSE 1 END, 1)", 'drift_score')} FROM m"""
+          FROM {_long(SHIFTED_NUMERIC, NO_CURRENT_UTIL, 'side')} GROUP BY feature)
+        SELECT feature, {_r("least(coalesce(0.7::DOUBLE*abs(cm-rm)/CASE WHEN rs>0 THEN rs ELSE 1 END + 0.3::DOUBLE*abs(cs-rs)/CASE WHEN rs>0 THEN rs ELSE 1 END, 0), 1)", 'drift_score')} FROM m"""
     )
     out["categorical_drift"] = _clean(f", {_top(CATEGORICAL)} SELECT feature, {_r('drift_score', 'drift_score', 9)} FROM catd")
     out["type_mismatch_drift"] = _clean(
@@ -654,6 +655,17 @@ def _build() -> dict[str, str]:
         SELECT id, loan_status, {cells}, (dense_rank() OVER (ORDER BY grade) - 1)::INT AS grade,
           (dense_rank() OVER (ORDER BY addr_state) - 1)::INT AS addr_state, {', '.join(hot)} FROM filled, f"""
     )
+    of_ref = filled.replace("FROM clean", "FROM clean WHERE side='ref'")
+    ranks = ", ".join(
+        f"""coalesce((SELECT k FROM (SELECT v, row_number() OVER (ORDER BY v) - 1 AS k FROM (SELECT DISTINCT {c} AS v
+        FROM clean WHERE side='ref')) WHERE v={c}), -1)::INT AS {c}"""
+        for c in ("grade", "addr_state")
+    )
+    out["preprocess_new_rows"] = _clean(
+        f""", filled AS (SELECT id, side, loan_status, grade, addr_state, home_ownership, purpose, {of_ref} FROM clean),
+        f AS (SELECT {fitted} FROM filled WHERE side='ref')
+        SELECT id, loan_status, {cells}, {ranks}, {', '.join(hot)} FROM filled, f WHERE side='cur'"""
+    )
     # the isotonic fit at a score: the largest, over starts at or before it, of the smallest mean up to an end at or
     # after it
     out["calibrate_isotonic"] = _scored(

@@ -158,11 +158,6 @@ def split_xy(spark: SparkSession, d: str) -> DataFrame:
     return labels.select("loan_status", "n_rows", rows.alias("x_rows"), F.lit(len(x.columns)).alias("x_columns"))
 
 
-@query
-def select_by_type(spark: SparkSession, d: str) -> DataFrame:
-    return C.select_by_type(C.clean(loans(spark, d), AS_OF))
-
-
 # --- scalar functions --------------------------------------------------------------------------
 
 
@@ -228,12 +223,6 @@ def composite_risk_score(spark: SparkSession, d: str) -> DataFrame:
     return generate.composite_risk_score(cleaned(spark, d, inputs, ["id"])).drop("loan_status", *inputs)
 
 
-@query
-def generated_feature_names(spark: SparkSession, d: str) -> DataFrame:
-    df = cleaned(spark, d, NUMERIC)
-    return generate.generated_feature_names(df, generate.FeatureGenerator().fit(df).transform(df))
-
-
 # --- imputation, scaling, encoding -------------------------------------------------------------
 
 GAPS = ["annual_inc", "dti", "revol_util"]
@@ -344,12 +333,7 @@ def sample_rows(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def objective_metric(spark: SparkSession, d: str) -> DataFrame:
-    df = scored_loans(spark, d)
-    parts = [metrics.objective_metric(df, "loan_status", "p", m) for m in metrics.METRICS]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return rounded(out)
+    return rounded(metrics.objective_metrics(scored_loans(spark, d), "loan_status", "p"))
 
 
 @query
@@ -475,7 +459,13 @@ def correlation_importance(df: DataFrame, columns: list[str], label: str = "loan
 
 def _importance_of_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     df = cleaned(spark, d, NUMERIC, ["side"])
-    return tuple(correlation_importance(df.where(F.col("side") == s), NUMERIC) for s in ("ref", "cur"))
+    label = F.col("loan_status").cast("double")
+    strength = [F.abs(F.corr(F.col(c).cast("double"), label)).alias(c) for c in NUMERIC]
+    scores = df.groupBy("side").agg(*strength).unpivot(["side"], NUMERIC, "feature", "importance")
+    scores = written(scores.where(~F.isnan("importance")), "importance")  # a row per feature and side
+    return tuple(
+        importance.feature_importance(scores.where(F.col("side") == s).drop("side"), NUMERIC) for s in ("ref", "cur")
+    )
 
 
 def _metrics_of_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -554,6 +544,8 @@ def numeric_drift(spark: SparkSession, d: str) -> DataFrame:
 @query
 def moment_drift(spark: SparkSession, d: str) -> DataFrame:
     ref, cur = _shifted_sides(spark, d)
+    # a feature that the current loans have no value of
+    cur = cur.withColumn("revol_util", F.lit(None).cast("double"))
     return rounded(drift.moment_drift(ref, cur))
 
 
@@ -736,6 +728,17 @@ def impute_knn(spark: SparkSession, d: str) -> DataFrame:
     return knn.impute_knn(staged(spark, d, names, ["id"]), names, "id").drop("loan_status")
 
 
+@query
+def preprocess_new_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Fit on the reference loans, store, load, and apply to the current ones."""
+    df = staged(spark, d, NUMERIC + CATEGORICAL, ["id", "side"])
+    fitted = prep.Preprocessor("id", "median", "robust").fit(df.where(F.col("side") == "ref").drop("side"))
+    base = work_path(spark, "fitted")
+    fitted.save(base, "preprocessor")
+    loaded = prep.Preprocessor.load(spark, base, "preprocessor")
+    return rounded(loaded.transform(df.where(F.col("side") == "cur").drop("side")))
+
+
 @query
 def preprocess(spark: SparkSession, d: str) -> DataFrame:
     df = staged(spark, d, NUMERIC + CATEGORICAL, ["id"])

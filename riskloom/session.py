@@ -5,12 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
 SPREAD_SPLITS = 8
+_scopes: list[list[str]] = []
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -37,15 +39,20 @@ def work_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="riskloom-")
+    return _local_root()
 
 
-def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the work folder; two runs never share one."""
-    return f"{work_root(spark)}/riskloom/{name}-{uuid.uuid4().hex}"
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="riskloom-")
 
 
-_scopes: list[list[str]] = []
+def work_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the work folder; two runs never share one. It goes with the ``scope`` around the call."""
+    path = f"{work_root(spark)}/riskloom/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:
@@ -60,15 +67,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     It stays until the ``scope`` around it ends, or for good where there is none.
     """
     path = work_path(df.sparkSession, name)
-    if _scopes:
-        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def scope(spark: SparkSession):
-    """Delete every table that ``written`` made inside, once the block has consumed its results."""
+    """Delete every table and folder that was made below the work folder inside; consume the results before it ends."""
     _scopes.append([])
     try:
         yield

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.operators import drift
+from riskloom.session import scope
 
 
 def stream_drift(
@@ -25,8 +26,9 @@ def stream_drift(
     def score(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            scores = drift.feature_drift(reference, batch.select(*reference.columns), threshold)
-            scores.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            with scope(batch.sparkSession):
+                scores = drift.feature_drift(reference, batch.select(*reference.columns), threshold)
+                scores.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 

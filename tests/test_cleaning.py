@@ -104,8 +104,59 @@ def test_wide_categories_stay_whole(spark):
     codes = encode.fit_categories(df, "c", max_collected=10)
     found = {r.c: r.code for r in codes.collect()}
     assert [found[v] for v in sorted(found)] == list(range(50))
-    sparse = encode.encode_onehot(df, ["c"], dense=10)
-    assert sparse.columns == ["c_index"] and sparse.distinct().count() == 50
+    wide = encode.encode_onehot(df, ["c"])
+    assert len(wide.columns) == 50 and wide.distinct().count() == 50
+    with pytest.raises(ValueError):
+        encode.encode_onehot(df, ["c"], most=10)
+
+
+def test_onehot_names_never_clash_or_need_quoting(spark):
+    rows = [("b_c", "c", "x.y"), ("b", "d", "x`y"), ("e", "e", "100%")]
+    df = spark.createDataFrame(rows, "a string, a_b string, `t.u` string")
+    out = encode.encode_onehot(df, ["a", "a_b", "t.u"])
+    assert len(set(out.columns)) == 9
+    assert sorted(sum(r) for r in out.collect()) == [3.0, 3.0, 3.0]
+    unseen = spark.createDataFrame([("zz", None, "x.y")], df.schema)
+    found = encode.encode_onehot(unseen, ["a", "a_b", "t.u"], df).first()
+    assert sum(found) == 1.0
+
+
+def test_missing_moments_are_no_drift(spark):
+    from riskloom.operators import drift
+
+    ref = spark.createDataFrame([(1.0, 1.0), (2.0, 3.0)], "a double, b double")
+    cur = spark.createDataFrame([(None, 9.0)], "a double, b double")
+    assert {r.feature: r.drift_score for r in drift.moment_drift(ref, cur).collect()} == {"a": 0.0, "b": 0.0}
+
+
+def test_stored_preprocessing_of_odd_new_rows(spark, tmp_path):
+    from riskloom.operators.preprocess import Preprocessor
+
+    rows = [(f"r{i}", float(i % 5) if i % 4 else None, f"v.{i}", "AB"[i % 2], i % 2) for i in range(201)]
+    fit_on = spark.createDataFrame(rows, "id string, x double, title string, grade string, loan_status int")
+    new = spark.createDataFrame([("n1", None, "unseen", "Z"), ("n2", 2.0, None, None)], "id string, x double, title string, grade string")
+    for how in ("median", "knn"):
+        fitted = Preprocessor("id", how, "robust").fit(fit_on)
+        fitted.save(f"file:{tmp_path}", how)
+        out = Preprocessor.load(spark, f"file:{tmp_path}", how).transform(new)
+        got = {r.id: r for r in out.collect()}
+        assert len(out.columns) == 3 + 201 and got["n1"].grade == -1 and got["n2"].grade == 0
+        assert sum(got["n1"][3:]) == 0 and sum(got["n2"][3:]) == 1
+        assert got["n1"].x is not None and out.columns == fitted.transform(new).columns
+
+
+def test_scope_leaves_the_work_folder_empty(spark):
+    import os
+
+    import __spark_entry__ as entry_points
+    from riskloom import session
+
+    folder = f"{session.work_root(spark)}/riskloom"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    for name in ("preprocess_new_rows", "split_stratified", "stream_drift", "reference_snapshot"):
+        with session.scope(spark):
+            entry_points.queries()[name](spark, "/root/testdata/sf0.001").collect()
+    assert set(os.listdir(folder)) == before
 
 
 def test_yeo_johnson_power(spark):
