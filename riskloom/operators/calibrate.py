@@ -8,10 +8,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Model
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +33,15 @@ class Calibrator:
         return out.select(*order, F.greatest(F.lit(0.0), F.least(F.lit(1.0), value)).alias(name))
 
 
+    def save(self, path: str) -> None:
+        self.model.write().overwrite().save(f"{path}/{self.method}")
+
+    @classmethod
+    def load(cls, path: str, method: str) -> "Calibrator":
+        kind = {"isotonic": IsotonicRegressionModel, "sigmoid": LogisticRegressionModel}[method]
+        return cls(method, kind.load(f"{path}/{method}"))
+
+
 def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
     rows = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
     return rows.groupBy(F.col(score).cast("double").alias("_x")).agg(

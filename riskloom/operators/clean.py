@@ -120,8 +120,12 @@ def clean(
     df: DataFrame, as_of: str, low: float = MIN_LOAN_AMOUNT, high: float = MAX_LOAN_AMOUNT, target: str = TARGET
 ) -> DataFrame:
     """All cleaning rules in order; Catalyst fuses them into one filter and one projection."""
-    df = binary_target(drop_null_target(df, target), target)
-    df = map_emp_length(parse_term(parse_percent(amount_range(df, low, high))))
+    return clean_features(amount_range(binary_target(drop_null_target(df, target), target), low, high), as_of)
+
+
+def clean_features(df: DataFrame, as_of: str) -> DataFrame:
+    """The rules for columns alone: every row stays, and a label is not needed."""
+    df = map_emp_length(parse_term(parse_percent(df)))
     return credit_history_years(issue_parts(parse_dates(df)), as_of)
 
 

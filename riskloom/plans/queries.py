@@ -636,7 +636,7 @@ def default_rate_by_grade(spark: SparkSession, d: str) -> DataFrame:
 # --- learning ----------------------------------------------------------------------------------
 
 LEARNED = [*NUMERIC, "p"]
-ROUNDS = 10
+ROUNDS = 100
 
 
 def learning_sets(spark: SparkSession, d: str) -> dict[str, DataFrame]:

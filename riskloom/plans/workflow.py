@@ -7,10 +7,11 @@ survive. Everything fitted (bounds, fills, scales, categories, selection) is fit
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassificationModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators import calibrate, clean, curves, drift, gates, generate, metrics, select, snapshot, split, train
@@ -19,6 +20,10 @@ from riskloom.schema import MAX_LOAN_AMOUNT, MIN_LOAN_AMOUNT, TARGET, numeric_co
 from riskloom.sources import tables
 
 
+#: Fixed value: the relative loss of performance that counts as drift in the task's configuration.
+PERFORMANCE_THRESHOLD = 0.05
+
+
 @dataclass(frozen=True)
 class Settings:
     as_of: str
@@ -38,6 +43,10 @@ class Settings:
     metric: str = "auc"
     calibration: str | None = "isotonic"
     params: train.TreeParams = field(default_factory=train.TreeParams)
+    drift_threshold: float = drift.DRIFT_THRESHOLD
+    performance_threshold: float = PERFORMANCE_THRESHOLD
+    importance_threshold: float = drift.IMPORTANCE_THRESHOLD
+    max_snapshots: int = tables.KEPT_VERSIONS
 
 
 @dataclass(frozen=True)
@@ -46,6 +55,8 @@ class Built:
     model: GBTClassificationModel
     calibrator: calibrate.Calibrator | None
     reports: dict[str, DataFrame]
+    generator: generate.FeatureGeneratorModel | None = None
+    preprocessor: Preprocessor | None = None
 
 
 def _stored(df: DataFrame, base: str, name: str) -> DataFrame:
@@ -56,15 +67,61 @@ def _part(df: DataFrame, name: str) -> DataFrame:
     return df.where(F.col("split") == name)
 
 
-def prepare(raw: DataFrame, base: str, s: Settings) -> DataFrame:
-    """Cleaned, split, derived and preprocessed rows, stored as ``features``."""
+def save_built(built: Built, base: str) -> None:
+    """Store everything that scoring new raw loans takes, below ``base``."""
+    built.preprocessor.save(base, "preprocessor")
+    model = f"{base}/model"
+    built.model.write().overwrite().save(f"{model}/trees")
+    if built.generator:
+        built.generator.write().overwrite().save(f"{model}/generator")
+    if built.calibrator:
+        built.calibrator.save(model)
+    state = json.dumps({
+        "features": built.features,
+        "calibration": built.calibrator.method if built.calibrator else None,
+        "generator": built.generator is not None,
+    })
+    spark = SparkSession.active()
+    tables.sink_table(spark.createDataFrame([(state,)], "state string"), base, "model_state")
+
+
+def load_built(spark: SparkSession, base: str) -> Built:
+    state = json.loads(tables.scan_table(spark, base, "model_state").first()[0])
+    model = f"{base}/model"
+    return Built(
+        state["features"],
+        GBTClassificationModel.load(f"{model}/trees"),
+        calibrate.Calibrator.load(model, state["calibration"]) if state["calibration"] else None,
+        {},
+        generate.FeatureGeneratorModel.load(f"{model}/generator") if state["generator"] else None,
+        Preprocessor.load(spark, base, "preprocessor"),
+    )
+
+
+def ready(built: Built, raw: DataFrame, s: Settings) -> DataFrame:
+    """Raw loans as the model wants them, by what was fitted; unlabelled loans all stay."""
+    labelled = s.target in raw.columns
+    cleaned = clean.clean(raw, s.as_of, s.low, s.high, s.target) if labelled else clean.clean_features(raw, s.as_of)
+    return built.preprocessor.transform(built.generator.transform(cleaned) if built.generator else cleaned)
+
+
+def score_new(built: Built, raw: DataFrame, s: Settings) -> DataFrame:
+    """``(key, probability)`` of default for raw loans."""
+    scored = train.score_table(built.model, ready(built, raw, s), built.features, [s.key], "probability")
+    if not built.calibrator:
+        return scored
+    return built.calibrator.transform(scored, "probability").select(s.key, F.col("calibrated").alias("probability"))
+
+
+def prepare(raw: DataFrame, base: str, s: Settings):
+    """Cleaned, split, derived and preprocessed rows, stored as ``features``; the fitted generator and preprocessing."""
     cleaned = _stored(clean.clean(raw, s.as_of, s.low, s.high, s.target), base, "clean")
     parts = split.split_rows(cleaned, [s.key], s.seed, s.test_size, s.val_size, s.stratum)
     parts = _stored(parts, base, "split")
-    if s.generate:
-        parts = generate.FeatureGenerator().fit(_part(parts, "train")).transform(parts)
+    generator = generate.FeatureGenerator().fit(_part(parts, "train")) if s.generate else None
+    parts = generator.transform(parts) if generator else parts
     fitted = Preprocessor(s.key, s.imputation, s.scaling, s.target, keep=("split",)).fit(_part(parts, "train"))
-    return _stored(fitted.transform(parts), base, "features")
+    return _stored(fitted.transform(parts), base, "features"), generator, fitted
 
 
 def choose_features(rows: DataFrame, s: Settings) -> list[str]:
@@ -77,8 +134,8 @@ def choose_features(rows: DataFrame, s: Settings) -> list[str]:
 
 def build(raw: DataFrame, base: str, s: Settings) -> Built:
     """Everything up to the promotion decision; reports are stored, too."""
-    ready = prepare(raw, base, s)
-    fit_rows, held = _part(ready, "train"), _part(ready, "val")
+    rows, generator, preprocessor = prepare(raw, base, s)
+    fit_rows, held = _part(rows, "train"), _part(rows, "val")
     features = choose_features(fit_rows, s)
     reports: dict[str, DataFrame] = {}
     params = s.params
@@ -88,7 +145,7 @@ def build(raw: DataFrame, base: str, s: Settings) -> Built:
         )
         params = train.best_params(reports["search"], params)
     model = train.train_gbt(fit_rows, features, s.target, params, held)
-    scores = _stored(train.score_table(model, ready, features, [s.key, s.target, "split"], "raw"), base, "scores")
+    scores = _stored(train.score_table(model, rows, features, [s.key, s.target, "split"], "raw"), base, "scores")
     calibrator = None
     shown = "raw"
     if s.calibration:
@@ -97,7 +154,7 @@ def build(raw: DataFrame, base: str, s: Settings) -> Built:
     test = _part(scores, "test")
     found = metrics.all_metrics(test, s.target, shown)
     reports |= {
-        "split": split.split_report(ready, s.target),
+        "split": split.split_report(rows, s.target),
         "metrics": found,
         "gate": gates.promotion_gate(found),
         "classes": metrics.classification_report(test, s.target, shown),
@@ -114,8 +171,11 @@ def build(raw: DataFrame, base: str, s: Settings) -> Built:
         fit_rows.select(*features),
         reports["importance"],
         metrics.monitored_metrics(_part(scores, "train"), s.target, shown),
+        s.max_snapshots,
     )
-    return Built(features, model, calibrator, reports)
+    built = Built(features, model, calibrator, reports, generator, preprocessor)
+    save_built(built, base)
+    return built
 
 
 def monitor(built: Built, base: str, current: DataFrame, s: Settings) -> dict[str, DataFrame]:
@@ -125,7 +185,7 @@ def monitor(built: Built, base: str, current: DataFrame, s: Settings) -> dict[st
     """
     spark = current.sparkSession
     reference = snapshot.load_snapshot(spark, f"{base}/reference")
-    scores = drift.feature_drift(reference["data"], current.select(*built.features))
+    scores = drift.feature_drift(reference["data"], current.select(*built.features), s.drift_threshold)
     out = {"features": scores, "overall": drift.overall_drift(scores, reference["importance"])}
     if s.target not in current.columns:
         out["concept"] = drift.concept_drift(reference["metrics"], None)
@@ -136,7 +196,9 @@ def monitor(built: Built, base: str, current: DataFrame, s: Settings) -> dict[st
         scored, shown = built.calibrator.transform(scored, "raw"), "calibrated"
     now = metrics.monitored_metrics(scored, s.target, shown)
     refit = train.train_gbt(current, built.features, s.target, s.params)
-    out["concept"] = drift.concept_drift(reference["metrics"], now)
-    out["importance"] = drift.importance_drift(reference["importance"], train.model_importance(refit, built.features))
+    out["concept"] = drift.concept_drift(reference["metrics"], now, s.performance_threshold)
+    out["changes"] = drift.metric_changes(reference["metrics"], now)
+    found = train.model_importance(refit, built.features)
+    out["importance"] = drift.importance_drift(reference["importance"], found, s.importance_threshold)
     out["alert"] = drift.drift_alert(scores, out["concept"], out["importance"])
     return out

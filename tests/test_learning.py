@@ -31,6 +31,12 @@ def test_learns_a_planted_signal(sets, model):
     assert shares[0].feature == "a" and sum(r.relative_importance for r in shares) == pytest.approx(100)
 
 
+def test_patience():
+    assert train.best_round([3.0, 2.0, 2.5, 1.0], 50) == 4
+    assert train.best_round([3.0, 2.0, 2.5, 2.4, 1.0], 2) == 2
+    assert train.best_round([1.0, 2.0], 1) == 1
+
+
 def test_contributions_add_up_to_the_margin(sets, model):
     rows = sets[1].limit(60)
     table = attribution.shap_table(model, rows, FEATURES, "id")

@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from riskloom.operators.train import TreeParams
@@ -25,5 +27,16 @@ def test_whole_run_and_monitoring(spark, tmp_path):
     same = workflow.monitor(built, base, ready.where("split = 'train'"), s)
     assert same["overall"].first().has_drift is False and same["concept"].first().has_drift is False
     moved = ready.where("split = 'test'").withColumn("signal", F.col("signal") + 2)
+    # a stored model scores raw loans without a label, and treats labelled ones as the build did
+    loaded = workflow.load_built(spark, base)
+    new = raw.drop("loan_status").limit(200)
+    scored = workflow.score_new(loaded, new, s).collect()
+    assert len(scored) == 200 and all(0 <= r.probability <= 1 for r in scored)
+    stored = {r.id: r.raw for r in tables.scan_table(spark, base, "scores").collect()}
+    uncalibrated = workflow.score_new(replace(loaded, calibrator=None), new, s).collect()
+    known = [r for r in uncalibrated if r.id in stored]
+    assert known and all(abs(r.probability - stored[r.id]) < 1e-9 for r in known)
+    monitored = workflow.monitor(loaded, base, workflow.ready(loaded, raw, s), s)
+    assert monitored["overall"].first().has_drift is False and monitored["changes"].count() == 5
     alert = workflow.monitor(built, base, moved, s)["alert"].first()
     assert alert.alert and "signal" in alert.drifted_features
