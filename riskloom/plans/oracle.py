@@ -223,7 +223,7 @@ def _scaled(columns: list[str], centre: str, width: str) -> str:
 
 def _build() -> dict[str, str]:
     out: dict[str, str] = {}
-    scaled = ["loan_amnt", "annual_inc", "dti", "revol_bal", "pub_rec"]
+    scaled = NUMERIC
     gaps = ["annual_inc", "dti", "revol_util"]
 
     # sources

@@ -225,8 +225,8 @@ def composite_risk_score(spark: SparkSession, d: str) -> DataFrame:
 
 # --- imputation, scaling, encoding -------------------------------------------------------------
 
-GAPS = ["annual_inc", "dti", "revol_util"]
-SCALED = ["loan_amnt", "annual_inc", "dti", "revol_bal", "pub_rec"]
+GAPS = ["annual_inc", "dti", "revol_util"]  # the columns with gaps
+SCALED = NUMERIC
 
 
 @query
@@ -266,8 +266,7 @@ def scale_standard(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def scale_yeo_johnson(spark: SparkSession, d: str) -> DataFrame:
-    names = ["loan_amnt", "annual_inc", "dti", "revol_bal"]
-    return scale.scale_yeo_johnson(staged(spark, d, names, ["id"]), names).drop("loan_status")
+    return scale.scale_yeo_johnson(staged(spark, d, NUMERIC, ["id"]), NUMERIC).drop("loan_status")
 
 
 @query
