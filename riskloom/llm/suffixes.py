@@ -341,8 +341,9 @@ def _suffix_count(batch: pa.RecordBatch, length: int) -> int:
     return len(strings(batch.column("bytes"))[0]) - batch.num_rows * (length - 1)
 
 
-def _windows_of_hot(length: int):
-    """A row per window of a segment: its hash as the key and its bytes."""
+def _windows_of_hot(length: int, bits: int, whole: bool):
+    """A row per window of a segment: its hash, and its bytes if ``whole``."""
+    most = np.uint64((1 << bits) - 1)
 
     def run(batches):
         for batch in pieces(batches, "bytes", 1 << 16):
@@ -352,12 +353,14 @@ def _windows_of_hot(length: int):
             row = np.repeat(np.arange(len(windows)), windows)
             window = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
             start = offsets[row] + window
-            h = mix((sums[start + length] - sums[start]) * powers(len(data) + 1, "down")[start])
-            columns = [batch.column(c).to_numpy()[row] for c in ("anchor", "place", "d1", "d2")]
-            names = ["anchor", "place", "d1", "d2", "window", "hash"]
-            yield pa.RecordBatch.from_arrays(
-                [*map(pa.array, columns), pa.array(window.astype(np.int32)), pa.array(h.view(np.int64))], names
-            )
+            h = mix((sums[start + length] - sums[start]) * powers(len(data) + 1, "down")[start]) & most
+            columns = {c: pa.array(batch.column(c).to_numpy()[row]) for c in ("anchor", "place", "d1", "d2")}
+            columns |= {"window": pa.array(window.astype(np.int32)), "hash": pa.array(h.view(np.int64))}
+            if whole:
+                held = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, length)[start])
+                fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(length), len(start), [None, pa.py_buffer(held)])
+                columns["bytes"] = fixed.cast(pa.binary())
+            yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
@@ -423,23 +426,26 @@ def _bucketed(df: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def cut_texts(
-    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_segments: int = GROUP_SEGMENTS
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_segments: int = GROUP_SEGMENTS, texts: bool = True
 ) -> DataFrame:
     """A row per distinct text of ``docs(text, …)``: ``(k1, k2, n_bytes, n_removed, n_spans, kept_sha256, spans, kept_text)``.
 
-    ``kept_text`` is what is left; a character that a span cuts loses its other bytes, too.
+    ``kept_text`` is what is left, without ``texts`` it is not there; a character that a span cuts loses its other bytes,
+    too.
     """
+    spark = docs.sparkSession
     docs = docs.select(*fingerprint(F.col("text")), F.coalesce("text", F.lit("")).alias("text"))
-    with Scratch(docs.sparkSession, "suffixes") as scratch:
+    with Scratch(spark, "suffixes") as scratch:
         distinct = docs.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
         distinct = distinct.select("k1", "k2", "text", "copies")
         try:
             corpus = _bucketed(distinct.mapInArrow(_anchored(length, gram), _TEXT), scratch)
             marks = _marks(corpus, scratch, length, group_segments)
             every = corpus.select("k1", "k2", "text", "copies").join(marks.hint("shuffle_hash"), ["k1", "k2"], "left")
-            return scratch.result(every.mapInArrow(_kept(length), _RESULT))
+            result = every.mapInArrow(_kept(length), _RESULT)
+            return scratch.result(result if texts else result.drop("kept_text"))
         finally:
-            docs.sparkSession.sql(f"DROP TABLE IF EXISTS {_corpus_name(scratch)}")
+            spark.sql(f"DROP TABLE IF EXISTS {_corpus_name(scratch)}")
 
 
 def repeated_bytes(
@@ -456,54 +462,10 @@ def repeated_bytes(
     - null or repeated ``doc_id``: one result per row, as texts are told apart by their fingerprint;
     - no rows: no rows; other columns are ignored.
     """
-    cut = cut_texts(docs, length, gram, group_segments).drop("kept_text")
+    cut = cut_texts(docs, length, gram, group_segments, texts=False)
     return docs.select("doc_id", *fingerprint(F.col("text"))).join(cut, ["k1", "k2"]).drop("k1", "k2")
 
 
-def _corpus_name(scratch: Scratch) -> str:
-    return "riskloom_" + scratch.root.rpartition("/")[2].replace("-", "_")
-
-
-def _bucketed(df: DataFrame, scratch: Scratch) -> DataFrame:
-    """``df`` written in buckets of its fingerprint, so that joins on it move only the other side."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    name = _corpus_name(scratch)
-    writer = df.write.bucketBy(n, "k1", "k2").option("compression", "zstd").option("path", scratch.path("texts"))
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name)
-
-
-def repeated_bytes(
-    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_segments: int = GROUP_SEGMENTS, texts: bool = False
-) -> DataFrame:
-    """``(doc_id, k1, k2, n_bytes, n_removed, n_spans, kept_sha256, spans)`` for every row of ``docs(doc_id, text, …)``.
-
-    A byte is removed if a string of ``length`` bytes that covers it also starts elsewhere, in another row or in the same
-    one; strings may overlap. ``spans`` lists start and end of each removed run. With ``texts``, ``kept_text`` is the
-    rest; a character cut by a span loses the bytes left of it.
-
-    - null and empty texts: 0 bytes, nothing removed, the digest of nothing;
-    - texts shorter than ``length``: untouched; very long texts are treated whole;
-    - repeated rows: each is elsewhere to the other, so both are covered whole;
-    - null or repeated ``doc_id``: one result per row, as texts are told apart by their fingerprint ``k1, k2``;
-    - no rows: no rows; other columns are ignored.
-    """
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", *fingerprint(F.col("text")), F.coalesce("text", F.lit("")).alias("text"))
-    with Scratch(spark, "suffixes") as scratch:
-        distinct = docs.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-        distinct = distinct.select("k1", "k2", "text", "copies")
-        try:
-            corpus = _bucketed(distinct.mapInArrow(_anchored(length, gram), _TEXT), scratch)
-            marks = _marks(corpus, scratch, length, group_segments)
-            every = corpus.select("k1", "k2", "text", "copies").join(marks.hint("shuffle_hash"), ["k1", "k2"], "left")
-            result = every.mapInArrow(_kept(length), _RESULT)
-            result = scratch.table(result if texts else result.drop("kept_text"), "kept")
-            return scratch.result(docs.select("doc_id", "k1", "k2").join(result, ["k1", "k2"]))
-        finally:
-            spark.sql(f"DROP TABLE IF EXISTS {_corpus_name(scratch)}")
-
-
 def _marks(corpus: DataFrame, scratch: Scratch, length: int, group_segments: int) -> DataFrame:
     """``(k1, k2, marks)``: ranges of repeated window starts of each text that has any."""
     single = corpus.select("k1", "k2", F.posexplode("anchor").alias("i", "anchor"))
@@ -532,7 +494,7 @@ def _marks(corpus: DataFrame, scratch: Scratch, length: int, group_segments: int
     grouped = cut.where("not hot").select(*key, "bytes", F.col("anchor").alias("key")).repartition(n, "key")
     found = grouped.sortWithinPartitions("key", "d1").mapInArrow(_marked(length), _MARKS)
     found = found.select(*key, F.arrays_zip("starts", "ends").alias("ranges"))
-    found = scratch.table(found.union(_hot_marks(cut.where("hot"), key, length)), "found")
+    found = scratch.table(found.union(_hot_marks(cut.where("hot"), key, length, scratch)), "found")
 
     all_of_it = F.array(F.struct(F.lit(0).alias("starts"), F.col("at.windows").alias("ends")))
     whole = kinds.where("n > 1").select(*key, all_of_it.alias("ranges"))
@@ -543,15 +505,17 @@ def _marks(corpus: DataFrame, scratch: Scratch, length: int, group_segments: int
     return placed.groupBy("k1", "k2").agg(F.collect_list(mark).alias("marks"))
 
 
-def _hot_marks(cut: DataFrame, key: list[str], length: int) -> DataFrame:
+def _hot_marks(cut: DataFrame, key: list[str], length: int, scratch: Scratch, bits: int = 64) -> DataFrame:
     """Repeated windows of segments whose anchor string has too many of them: dealt out by the hash of each window.
 
-    Hashes are counted with map-side sums; windows whose hash is counted twice are repeated, for two 64-bit hashes (the
-    anchor's and the window's) agree.
+    Hashes of ``bits`` bits are counted with map-side sums, which rules out nearly all windows that are unique. The bytes
+    of the others are digested (SHA-256), and those whose digest is counted twice are repeated.
     """
-    windows = cut.mapInArrow(
-        _windows_of_hot(length), "anchor long, place int, d1 long, d2 long, window int, hash long"
-    )
-    again = windows.groupBy("anchor", "hash").count().where("count > 1").select("anchor", "hash")
+    columns = "anchor long, place int, d1 long, d2 long, window int, hash long"
+    again = cut.mapInArrow(_windows_of_hot(length, bits, False), columns).groupBy("anchor", "hash").count()
+    again = again.where("count > 1").select("anchor", "hash")
+    held = cut.mapInArrow(_windows_of_hot(length, bits, True), f"{columns}, bytes binary").join(again, ["anchor", "hash"])
+    held = scratch.table(held.select(*key, "window", F.unhex(F.sha2("bytes", 256)).alias("digest")), "hot")
+    same = held.groupBy("anchor", "digest").count().where("count > 1").select("anchor", "digest")
     range_of = F.struct(F.col("window").alias("starts"), (F.col("window") + 1).alias("ends"))
-    return windows.join(again, ["anchor", "hash"]).groupBy(*key).agg(F.collect_list(range_of).alias("ranges"))
+    return held.join(same, ["anchor", "digest"]).groupBy(*key).agg(F.collect_list(range_of).alias("ranges"))

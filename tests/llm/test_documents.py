@@ -155,6 +155,18 @@ def test_suffix_mergesort():
     assert sorted(got[block == 3]) == sorted(starts[block == 3])
 
 
+def test_hot_windows_are_verified(spark):
+    """With hashes of one bit nearly all windows collide; only those of equal bytes may be marked."""
+    segments = [b"abcdXY", b"zabcdQ", b"123456", b"abcQRS"]
+    cut = spark.createDataFrame(
+        [(1, i, i, i, bytearray(b)) for i, b in enumerate(segments)] + [(2, 9, 9, 9, bytearray(b"123456"))],
+        "anchor long, place int, d1 long, d2 long, bytes binary",
+    )
+    with Scratch(spark, "hot") as scratch:
+        marks = suffixes._hot_marks(cut, ["anchor", "place", "d1", "d2"], 4, scratch, bits=1).collect()
+    assert {(r.anchor, r.place, *sorted(r.ranges)) for r in marks} == {(1, 0, (0, 1)), (1, 1, (1, 2))}
+
+
 # language
 
 
