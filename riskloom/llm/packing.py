@@ -34,7 +34,9 @@ BATCH_BYTES = 2 << 20
 TAIL = b".,;:!?|*#%&-_()[]{}/+=<>"
 #: Fixed: how the special tokens of the file begin.
 SPECIAL = "<|"
+#: A class is ranked in parts: this many, or more once a part would hold over ``PART_PIECES``.
 SALTS = 16
+PART_PIECES = 1_000_000
 
 _tokenizers: dict[str, tuple] = {}
 
@@ -194,12 +196,14 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int,
     return placed
 
 
-def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, part_pieces: int = PART_PIECES) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)`` for every piece of ``docs(doc_id, text, …)``.
 
     A document is the ids that the tokenizer file at ``path`` gives for its text, then id 1; more than ``capacity`` ids
     are cut, and only then. ``offset`` is the place in its sequence.
 
+    Equal lengths are ranked in parts of about ``part_pieces``, which does not change the number of sequences.
+
     - null and empty texts: one piece of the end id alone;
     - repeated rows and repeated or null ids: each row is packed for itself;
     - very long texts: tokenized whole, one piece after the other;
@@ -211,8 +215,12 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
         schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
         cut = docs.mapInArrow(_cut(path, capacity), schema)
         # a class may hold a third of all pieces, so its ranks are counted in salted parts
-        salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(SALTS))
-        cut = scratch.table(cut.withColumn("salt", salt.cast("int")), "pieces")
+        drawn = F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id())
+        cut = scratch.table(cut.withColumn("drawn", drawn), "pieces")
+        # a row per length, then a row per length and part
+        sizes = [(r[0], max(SALTS, -(-r[1] // part_pieces))) for r in cut.groupBy("length").count().collect()]
+        salts = F.broadcast(spark.createDataFrame(sizes, "length long, salts long"))
+        cut = cut.join(salts, "length").withColumn("salt", F.pmod("drawn", "salts").cast("int")).drop("drawn", "salts")
         parts = [(r[0], r[1], r[2]) for r in cut.groupBy("length", "salt").count().collect()]
         offsets, counts = [], {}
         for length, part, n in sorted(parts):

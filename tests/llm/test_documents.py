@@ -222,10 +222,10 @@ def brute_best_fit(lengths, capacity):
     return len(gaps)
 
 
-@pytest.mark.parametrize("capacity", [7, 64, 4096])
-def test_pack_odd_rows(odd_docs, odd_rows, no_docs, capacity):
+@pytest.mark.parametrize(("capacity", "part_pieces"), [(7, 100), (64, 1_000_000), (4096, 1_000_000)])
+def test_pack_odd_rows(odd_docs, odd_rows, no_docs, capacity, part_pieces):
     tokenizer = Tokenizer.from_file(WORDS)
-    got = packing.pack(odd_docs, WORDS, capacity).collect()
+    got = packing.pack(odd_docs, WORDS, capacity, part_pieces).collect()
     want = Counter()
     for r in odd_rows:
         ids = tokenizer.encode(r[1] or "", add_special_tokens=False).ids + [1]
