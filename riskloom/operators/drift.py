@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from riskloom.operators.ordered import prefix_sums, value_counts_by_side
 from riskloom.operators.stats import TOP_CATEGORIES, category_frequencies, numeric_stats
 from riskloom.schema import numeric_columns, string_columns
+from riskloom.session import checked_broadcast, written
 
 # fixed values: thresholds, weights and list lengths of the drift reports
 DRIFT_THRESHOLD = 0.1
@@ -51,7 +54,11 @@ def distribution_distances(
     names = list(columns) if columns is not None else shared_features(reference, current)["numeric"]
     both = _both(reference, current, names)
     sides = {"ref": (F.col("side") == "ref").cast("int"), "cur": (F.col("side") == "cur").cast("int")}
-    freq = value_counts_by_side(both, names, sides)
+    return _distances(value_counts_by_side(both, names, sides))
+
+
+def _distances(freq: DataFrame) -> DataFrame:
+    """The distances from ``(feature, value, ref, cur)``, a row per value."""
     points = prefix_sums(freq, ["feature"], "value", ["ref", "cur"], neighbours=True)
 
     def reached(side: str) -> Column:
@@ -82,7 +89,10 @@ def _capped(score: Column) -> Column:
 
 def numeric_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Weighted sum of the normalised distance and the KS statistic, at most 1; nothing to compare gives 0."""
-    d = distribution_distances(reference, current, columns)
+    return _numeric_scores(distribution_distances(reference, current, columns))
+
+
+def _numeric_scores(d: DataFrame) -> DataFrame:
     score = F.lit(DISTANCE_WEIGHT) * F.col("wasserstein_norm") + F.lit(KS_WEIGHT) * F.col("ks")
     return d.select("feature", _capped(F.coalesce(score, F.lit(0.0))).alias("drift_score"))
 
@@ -114,7 +124,10 @@ def moment_drift_from_stats(ref: DataFrame, cur: DataFrame) -> DataFrame:
 
 def _paired_categories(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The ten most frequent values of each side, joined; a value not among a side's ten has frequency 0 there."""
-    both = category_frequencies(_both(reference, current, columns), columns, ["side"])
+    return _paired(category_frequencies(_both(reference, current, columns), columns, ["side"]))
+
+
+def _paired(both: DataFrame) -> DataFrame:
     return both.groupBy("feature", "value").agg(
         F.coalesce(F.max(F.when(F.col("side") == "ref", F.col("freq"))), F.lit(0.0)).alias("ref_freq"),
         F.coalesce(F.max(F.when(F.col("side") == "cur", F.col("freq"))), F.lit(0.0)).alias("cur_freq"),
@@ -124,7 +137,10 @@ def _paired_categories(reference: DataFrame, current: DataFrame, columns: Sequen
 def categorical_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Half the summed frequency differences over both sides' ten most frequent values."""
     names = list(columns) if columns is not None else shared_features(reference, current)["categorical"]
-    pairs = _paired_categories(reference, current, names)
+    return _category_scores(_paired_categories(reference, current, names))
+
+
+def _category_scores(pairs: DataFrame) -> DataFrame:
     score = F.sum(F.abs(F.col("ref_freq") - F.col("cur_freq"))) / 2
     return pairs.groupBy("feature").agg(_capped(score).alias("drift_score"))
 
@@ -142,19 +158,69 @@ def feature_drift(
     reference: DataFrame, current: DataFrame, threshold: float = DRIFT_THRESHOLD
 ) -> DataFrame:
     """``(feature, kind, drift_score, drifted)`` over every feature both tables have."""
+    return _scored_features(reference, current, threshold, numeric_drift, categorical_drift)
+
+
+@dataclass(frozen=True)
+class GroupedReference:
+    """All that ``grouped_feature_drift`` needs of a reference: ``values`` is (feature, value, ref), a row per distinct
+    number, and ``leading`` (feature, value, freq), the most frequent strings of each column."""
+
+    schema: StructType
+    values: DataFrame
+    leading: DataFrame
+
+
+def group_reference(reference: DataFrame) -> GroupedReference:
+    """The reference grouped once and written, for comparing many tables with it."""
+    numeric = numeric_columns(reference)
+    others = [c for c in reference.columns if c not in set(numeric)]
+    values = value_counts_by_side(reference, numeric, {"ref": F.lit(1)}) if numeric else _no_rows(
+        reference, "feature string, value double, ref bigint"
+    )
+    leading = category_frequencies(reference, others).select("feature", "value", "freq") if others else _no_rows(
+        reference, "feature string, value string, freq double"
+    )
+    return GroupedReference(reference.schema, written(values, "reference-values"), written(leading, "reference-leading"))
+
+
+def _no_rows(df: DataFrame, schema: StructType | str) -> DataFrame:
+    return df.sparkSession.createDataFrame([], schema)
+
+
+def grouped_feature_drift(
+    reference: GroupedReference, current: DataFrame, threshold: float = DRIFT_THRESHOLD
+) -> DataFrame:
+    """``feature_drift`` against a grouped reference, whose rows are not read again."""
+
+    def numeric(_: DataFrame, rows: DataFrame, names: Sequence[str]) -> DataFrame:
+        old = reference.values.where(F.col("feature").isin(list(names))).withColumn("cur", F.lit(0).cast("bigint"))
+        new = value_counts_by_side(rows, names, {"cur": F.lit(1)}).withColumn("ref", F.lit(0).cast("bigint"))
+        both = old.unionByName(new).groupBy("feature", "value")
+        return _numeric_scores(_distances(both.agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))))
+
+    def categorical(_: DataFrame, rows: DataFrame, names: Sequence[str]) -> DataFrame:
+        old = reference.leading.where(F.col("feature").isin(list(names))).withColumn("side", F.lit("ref"))
+        new = category_frequencies(rows, names).select("feature", "value", "freq", F.lit("cur").alias("side"))
+        return _category_scores(_paired(old.unionByName(new)))
+
+    return _scored_features(_no_rows(current, reference.schema), current, threshold, numeric, categorical)
+
+
+Scores = Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame]
+
+
+def _scored_features(
+    reference: DataFrame, current: DataFrame, threshold: float, numeric: Scores, categorical: Scores
+) -> DataFrame:
     kinds = shared_features(reference, current)
     parts = []
-    if kinds["numeric"]:
-        scores = numeric_drift(reference, current, kinds["numeric"])
-        names = reference.sparkSession.createDataFrame([(c,) for c in kinds["numeric"]], "feature string")
-        # a feature with no values at all has no row in the ordered frame; it scores 0
-        scores = names.join(scores, "feature", "left").fillna(0.0, ["drift_score"])
-        parts.append(scores.select("feature", F.lit("numeric").alias("kind"), "drift_score"))
-    if kinds["categorical"]:
-        scores = categorical_drift(reference, current, kinds["categorical"])
-        names = reference.sparkSession.createDataFrame([(c,) for c in kinds["categorical"]], "feature string")
-        scores = names.join(scores, "feature", "left").fillna(0.0, ["drift_score"])
-        parts.append(scores.select("feature", F.lit("categorical").alias("kind"), "drift_score"))
+    for kind, scored in (("numeric", numeric), ("categorical", categorical)):
+        if kinds[kind]:
+            names = reference.sparkSession.createDataFrame([(c,) for c in kinds[kind]], "feature string")
+            # a feature with no values at all has no row in the ordered frame; it scores 0
+            scores = names.join(scored(reference, current, kinds[kind]), "feature", "left").fillna(0.0, ["drift_score"])
+            parts.append(scores.select("feature", F.lit(kind).alias("kind"), "drift_score"))
     if kinds["mismatched"]:
         scores = type_mismatch_drift(reference, current)
         parts.append(scores.select("feature", F.lit("type").alias("kind"), "drift_score"))
@@ -285,7 +351,6 @@ def kl_drift(
 ) -> DataFrame:
     """Kullback-Leibler divergence of the current from the reference distribution over equal-width bins."""
     from riskloom.operators.curves import equal_width_bin
-    from riskloom.session import checked_broadcast
 
     names = list(columns) if columns is not None else shared_features(reference, current)["numeric"]
     both = _both(reference, current, names)

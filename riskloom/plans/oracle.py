@@ -522,6 +522,16 @@ def _build() -> dict[str, str]:
         SELECT feature, {_r('mean_abs', 'mean_abs')}, row_number() OVER (ORDER BY mean_abs DESC, feature)::INT AS rank FROM a"""
     )
 
+    pairs = " UNION ALL ".join(
+        f"SELECT id, '{c}' AS feature, {c}::DOUBLE AS value, CASE WHEN {c}_s<>0 THEN ({c}-{c}_m)/{c}_s*{c}_w ELSE 0 END AS c FROM clean, f"
+        for c in weighed
+    )
+    out["shap_dependence"] = _clean(
+        f""", f AS (SELECT {fits} FROM clean), s AS ({pairs}),
+        a AS (SELECT feature, row_number() OVER (ORDER BY avg(abs(c)) DESC, feature)::INT AS rank FROM s GROUP BY feature)
+        SELECT id, feature, rank, {_r('value', 'value')}, {_r('c', 'contribution')} FROM s JOIN a USING (feature) WHERE rank<=5"""
+    )
+
     # drift
     out["ks_statistic"] = _clean(f", {_distances(NUMERIC)} SELECT feature, {_r('ks', 'ks', 9)} FROM norm")
     out["wasserstein"] = _clean(
@@ -558,6 +568,11 @@ def _build() -> dict[str, str]:
         f"""{_side_metrics('m')} SELECT metric, {_r('reference', 'reference', 9)}, {_r('current', 'current', 9)},
         {_r('difference', 'difference', 9)} FROM pairs"""
     )
+    relative = "CASE WHEN reference<>0 THEN difference/abs(reference) ELSE current END"
+    out["metric_changes"] = (
+        f"""{_side_metrics('m')} SELECT metric, {_r('reference', 'reference', 9)}, {_r('current', 'current', 9)},
+        {_r('difference', 'difference', 9)}, {_r(relative, 'relative_change', 9)} FROM pairs"""
+    )
     moved = f"""{_importance("(SELECT * FROM clean WHERE side='ref')", 'r')}, {_importance("(SELECT * FROM clean WHERE side='cur')", 'c')},
       moved AS (SELECT feature, coalesce(r.relative_importance,0) AS a, coalesce(c.relative_importance,0) AS b,
         coalesce(c.relative_importance,0)-coalesce(r.relative_importance,0) AS d FROM r FULL OUTER JOIN c USING (feature)),
@@ -617,11 +632,34 @@ def _build() -> dict[str, str]:
         FROM {_long(CATEGORICAL, 'clean', '', 'VARCHAR')} GROUP BY feature"""
     )
     out["scan_zip_csv"] = _raw("SELECT id, term, grade, loan_status FROM raw")
-    out["reference_snapshot"] = _clean(
-        """SELECT 'data' AS part, count(*) AS n_rows, 17 AS n_columns FROM clean WHERE side='ref'
-        UNION ALL SELECT * FROM (VALUES ('numeric_stats', 13, 15), ('categorical_stats', 4, 5), ('importance', 13, 3),
-          ('metrics', 5, 2))"""
-    )
+    stored = [*NUMERIC, *CATEGORICAL]
+    numbers = {"mean": "avg(value)", "std": "stddev_samp(value)", "min": "min(value)", "max": "max(value)"}
+    items = [f"SELECT feature, 'data:non_null' AS item, count(value)::DOUBLE AS value FROM {_long(stored, 'ref', '', 'VARCHAR')} GROUP BY feature"]
+    items += [
+        f"SELECT feature, 'numeric_stats:{n}', {_r(e, 'value')} FROM {_long(NUMERIC, 'ref')} GROUP BY feature"
+        for n, e in numbers.items()
+    ]
+    strings = {"unique_count": "count(DISTINCT value)::DOUBLE", "missing": "count(*) FILTER (value IS NULL)/count(*)::DOUBLE"}
+    items += [
+        f"SELECT feature, 'categorical_stats:{n}', {_r(e, 'value')} FROM {_long(CATEGORICAL, 'ref', '', 'VARCHAR')} GROUP BY feature"
+        for n, e in strings.items()
+    ]
+    items += [f"SELECT feature, 'importance:{n}', {_r(n, 'value')} FROM imp" for n in ("importance", "relative_importance")]
+    items.append(f"SELECT metric, 'metrics', {_r('reference', 'value')} FROM pairs")
+    found = _importance("ref", "imp")
+    out["reference_snapshot"] = (
+        f"{_side_metrics('m')}, ref AS (SELECT * FROM clean WHERE side='ref'), {found} " + " UNION ALL ".join(items)
+    )
+    halves = [
+        f"""SELECT {i}::BIGINT AS batch_id, * FROM (WITH
+        half AS (SELECT * FROM clean WHERE side='ref' OR right(id, 1)::INT % 2 = {i}),
+        {_distances(NUMERIC, 'half')}, {_top(CATEGORICAL, 'half')},
+        scores AS (SELECT feature, 'numeric' AS kind, least(0.4::DOUBLE*wn + 0.6::DOUBLE*ks, 1) AS s FROM norm
+          UNION ALL SELECT feature, 'categorical', drift_score FROM catd)
+        SELECT feature, kind, {_r('s', 'drift_score')}, s > 0.1::DOUBLE AS drifted FROM scores)"""
+        for i in range(2)
+    ]
+    out["stream_drift"] = _clean(" UNION ALL ".join(halves))
     profiled = ["loan_status", *NUMERIC]
     positions = ["loan_status", *NUMERIC, *CATEGORICAL]
     place = "CASE feature " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(positions)) + " END AS position"

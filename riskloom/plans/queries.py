@@ -498,6 +498,11 @@ def shap_summary(spark: SparkSession, d: str) -> DataFrame:
     return rounded(importance.shap_summary(_linear_contributions(spark, d)))
 
 
+@query
+def shap_dependence(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(importance.shap_dependence(written(_linear_contributions(spark, d), "contributions")))
+
+
 def _linear_contributions(spark: SparkSession, d: str) -> DataFrame:
     """Contributions of a linear score: the correlation with the label times the standardised value.
 
@@ -599,6 +604,11 @@ def metric_compare(spark: SparkSession, d: str) -> DataFrame:
     return rounded(drift.metric_compare(*_metrics_of_sides(spark, d)), 9)
 
 
+@query
+def metric_changes(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(drift.metric_changes(*_metrics_of_sides(spark, d)), 9)
+
+
 @query
 def kl_drift(spark: SparkSession, d: str) -> DataFrame:
     ref, cur = sides(spark, d, NUMERIC)
@@ -715,6 +725,8 @@ def calibrate_sigmoid(spark: SparkSession, d: str) -> DataFrame:
 def shap_table(spark: SparkSession, d: str) -> DataFrame:
     sets = learning_sets(spark, d)
     sample = split.sample_rows(sets["train"], KEY, attribution.SAMPLE_ROWS, SEED)
+    # a limit leaves one partition, and the attribution is the expensive part
+    sample = sample.repartition(spark.sparkContext.defaultParallelism, *KEY)
     return attribution.shap_table(_model(sets), sample, LEARNED, "id")
 
 
@@ -766,22 +778,34 @@ def reference_snapshot(spark: SparkSession, d: str) -> DataFrame:
     measured, _ = _metrics_of_sides(spark, d)
     snapshot.save_snapshot(base, ref, found, measured)
     parts = snapshot.load_snapshot(spark, base)
-    sizes = [
-        df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("part"), "n_rows", F.lit(len(df.columns)).alias("n_columns"))
-        for n, df in parts.items()
-    ]
-    out = sizes[0]
-    for s in sizes[1:]:
-        out = out.unionByName(s)
-    return out
+    data = parts["data"].agg(*[F.count(c).cast("double").alias(c) for c in parts["data"].columns])
+    items = [data.unpivot([], data.columns, "feature", "value").withColumn("item", F.lit("data:non_null"))]
+    shown = {
+        "numeric_stats": ["mean", "std", "min", "max"],
+        "categorical_stats": ["unique_count", "missing"],
+        "importance": ["importance", "relative_importance"],
+    }
+    for part, names in shown.items():
+        cells = parts[part].select("feature", *[F.col(c).cast("double").alias(f"{part}:{c}") for c in names])
+        items.append(cells.unpivot(["feature"], [f"{part}:{c}" for c in names], "item", "value"))
+    items.append(parts["metrics"].select(F.col("metric").alias("feature"), F.lit("metrics").alias("item"), "value"))
+    out = items[0]
+    for more in items[1:]:
+        out = out.unionByName(more)
+    return rounded(out)
 
 
 @query
 def stream_drift(spark: SparkSession, d: str) -> DataFrame:
-    ref, cur = sides(spark, d, ["loan_amnt", "dti", "grade", "annual_inc"])
+    """The current loans arrive in two batches, by the last digit of the key; the stream ends and goes on in between."""
+    names = [*NUMERIC, *CATEGORICAL]
+    df = staged(spark, d, names, ["id", "side"])
+    reference = drift.group_reference(df.where(F.col("side") == "ref").select(*names))
+    current = df.where(F.col("side") == "cur")
+    half = F.substring("id", -1, 1).cast("int") % 2
     base = work_path(spark, "stream")
-    ref = written(ref, "reference")
-    cur.repartition(2).write.parquet(f"{base}/in")
-    arriving = spark.readStream.schema(cur.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
-    drift_stream.stream_drift(ref, arriving, f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return drift_stream.drift_history(spark, f"{base}/out")
+    for i in range(2):
+        current.where(half == i).select(*names).write.mode("append").parquet(f"{base}/in")
+        arriving = spark.readStream.schema(current.select(*names).schema).parquet(f"{base}/in")
+        drift_stream.stream_drift(reference, arriving, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return rounded(drift_stream.drift_history(spark, f"{base}/out"))

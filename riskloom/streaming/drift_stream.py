@@ -11,13 +11,14 @@ from riskloom.session import scope
 
 
 def stream_drift(
-    reference: DataFrame,
+    reference: drift.GroupedReference,
     arriving: DataFrame,
     out_path: str,
     checkpoint: str,
     threshold: float = drift.DRIFT_THRESHOLD,
 ) -> StreamingQuery:
-    """Compare every micro-batch of ``arriving`` with ``reference`` and store its feature scores.
+    """Compare every micro-batch of ``arriving`` with ``reference`` (from ``drift.group_reference``) and store its feature
+    scores. A batch reads itself and the grouped reference only.
 
     A batch writes its own ``batch_id=N`` directory in overwrite mode, so a batch that runs again after a failure
     replaces its earlier result.
@@ -27,7 +28,8 @@ def stream_drift(
         batch = batch.persist()
         try:
             with scope(batch.sparkSession):
-                scores = drift.feature_drift(reference, batch.select(*reference.columns), threshold)
+                rows = batch.select(*reference.schema.names)
+                scores = drift.grouped_feature_drift(reference, rows, threshold)
                 scores.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
         finally:
             batch.unpersist()
