@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators.metrics import ratio_or_zero, score_frequencies
+from riskloom.operators.ordered import exact_quantiles, finite
 from riskloom.session import checked_broadcast
 
 SWEEP_START, SWEEP_STEP, SWEEP_POINTS = 0.01, 0.02, 50
@@ -75,16 +76,33 @@ def calibration_curve(df: DataFrame, label: str, score: str, bins: int = 10) ->
     )
 
 
-def equal_width_bin(value: Column, low: Column, high: Column, bins: int) -> Column:
+def equal_width_bin(value: Column, low: Column, high: Column, bins: int | Column) -> Column:
     """Bin number 0 … bins-1 over [low, high]; the last bin is closed, a single-value range uses one middle bin."""
-    cell = F.floor((value - low) * F.lit(float(bins)) / (high - low)).cast("int")
-    return F.when(high > low, F.least(cell, F.lit(bins - 1))).otherwise(F.lit(bins // 2))
+    n = F.lit(bins).cast("int")
+    cell = F.floor((value - low) * n.cast("double") / (high - low)).cast("int")
+    return F.when(high > low, F.least(cell, n - 1)).otherwise(F.floor(n / 2).cast("int"))
+
+
+def automatic_bins(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(feature, bins)``: the finer of the widths by Freedman and Diaconis (from the quartiles) and by Sturges (from the
+    number of values); without a spread of the quartiles the latter, for a single value one bin."""
+    ends = df.select(*[finite(c).alias(c) for c in columns]).unpivot([], columns, "feature", "value")
+    ends = ends.where(F.col("value").isNotNull()).groupBy("feature")
+    ends = ends.agg(F.count(F.lit(1)).alias("n"), (F.max("value") - F.min("value")).alias("range"))
+    quartiles = exact_quantiles(df, columns, [0.25, 0.75]).groupBy("feature")
+    spread = quartiles.agg((F.max("quantile") - F.min("quantile")).alias("spread"))
+    sturges = F.col("range") / (F.log2("n") + 1)
+    narrow = 2 * F.col("spread") / F.pow(F.col("n"), F.lit(1 / 3))
+    width = F.when(F.col("spread") > 0, F.least(narrow, sturges)).otherwise(sturges)
+    bins = F.when(F.col("range") > 0, F.ceil(F.col("range") / width).cast("int")).otherwise(F.lit(1))
+    return ends.join(spread, "feature").select("feature", bins.alias("bins"))
 
 
 def histogram(
-    df: DataFrame, columns: list[str], bins: int, by: str | None = None, range_per_group: bool = False
+    df: DataFrame, columns: list[str], bins: int | str = "auto", by: str | None = None, range_per_group: bool = False
 ) -> DataFrame:
-    """Counts per equal-width bin: ``(feature[, by], bin, low_edge, high_edge, n_rows, share)``.
+    """Counts per equal-width bin: ``(feature[, by], bin, low_edge, high_edge, n_rows, share)``; with ``auto`` each
+    feature has the number of bins that ``automatic_bins`` finds.
 
     Two aggregates: the ranges (one row per feature and group), then the counts. The range is shared by
     all groups unless ``range_per_group``; the share is within the group.
@@ -95,15 +113,18 @@ def histogram(
     long = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
     range_keys = ["feature", *(groups if range_per_group else [])]
     ranges = long.groupBy(*range_keys).agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    # a row per feature
+    wanted = automatic_bins(df, columns) if bins == "auto" else None
+    ranges = ranges.join(wanted, "feature") if wanted is not None else ranges.withColumn("bins", F.lit(bins))
     placed = long.join(checked_broadcast(ranges), range_keys)
     counts = placed.groupBy(
-        "feature", *groups, equal_width_bin(F.col("value"), F.col("low"), F.col("high"), bins).alias("bin")
-    ).agg(F.count(F.lit(1)).alias("n_rows"), F.first("low").alias("low"), F.first("high").alias("high"))
+        "feature", *groups, equal_width_bin(F.col("value"), F.col("low"), F.col("high"), F.col("bins")).alias("bin")
+    ).agg(F.count(F.lit(1)).alias("n_rows"), *[F.first(c).alias(c) for c in ("low", "high", "bins")])
     # equal ends are widened by one half on both sides, as a one-value histogram has no width of its own
     flat = F.col("high") == F.col("low")
     low = F.when(flat, F.col("low") - 0.5).otherwise(F.col("low"))
     high = F.when(flat, F.col("high") + 0.5).otherwise(F.col("high"))
-    width = (high - low) / F.lit(float(bins))
+    width = (high - low) / F.col("bins").cast("double")
     return counts.select(
         "feature",
         *groups,

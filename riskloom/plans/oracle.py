@@ -499,6 +499,22 @@ def _build() -> dict[str, str]:
           {_r('n_rows/sum(n_rows) OVER (PARTITION BY feature, loan_status)', 'share')} FROM n"""
     )
 
+    out["histogram_auto"] = _clean(
+        f""", l AS (SELECT * FROM {_long(NUMERIC)} WHERE value IS NOT NULL),
+        q AS (SELECT feature, min(value) AS lo, max(value) AS hi, max(value)-min(value) AS rng, count(*) AS n,
+          quantile_cont(value, 0.75)-quantile_cont(value, 0.25) AS iqr FROM l GROUP BY feature),
+        w AS (SELECT *, rng/(log2(n)+1) AS sturges, 2*iqr/pow(n, 1/3::DOUBLE) AS narrow FROM q),
+        b AS (SELECT *, CASE WHEN rng>0 THEN ceil(rng/CASE WHEN iqr>0 THEN least(narrow, sturges) ELSE sturges END)::INT ELSE 1 END
+          AS bins FROM w),
+        n AS (SELECT feature, bins, lo, hi, CASE WHEN hi>lo THEN least(floor((value-lo)*bins::DOUBLE/(hi-lo))::INT, bins-1)
+          ELSE bins//2 END AS bin, count(*) AS n_rows FROM l JOIN b USING (feature) GROUP BY ALL),
+        e AS (SELECT feature, bin, bins, n_rows, CASE WHEN hi=lo THEN lo-0.5::DOUBLE ELSE lo END AS lo,
+          CASE WHEN hi=lo THEN hi+0.5::DOUBLE ELSE hi END AS hi FROM n)
+        SELECT feature, bin, {_r('lo+bin*((hi-lo)/bins::DOUBLE)', 'low_edge')},
+          {_r('lo+(bin+1)*((hi-lo)/bins::DOUBLE)', 'high_edge')}, n_rows,
+          {_r('n_rows/sum(n_rows) OVER (PARTITION BY feature)', 'share')} FROM e"""
+    )
+
     # importance
     ranked = _importance("clean", "imp")
     out["feature_importance"] = _clean(
@@ -716,6 +732,23 @@ def _build() -> dict[str, str]:
         SELECT {_r('p', 'score', 9)}, {_r('v', 'calibrated', 9)}, n AS n_rows FROM c JOIN fit USING (i)"""
     )
 
+    # Newton steps on the logistic loss of the smoothed targets, from (0, 0)
+    steps = ["s0 AS (SELECT 0::DOUBLE AS a, 0::DOUBLE AS b)"]
+    for i in range(12):
+        steps.append(
+            f"""g{i} AS (SELECT any_value(a) AS a, any_value(b) AS b, sum((q-t)*n*p) AS ga, sum((q-t)*n) AS gb,
+            sum(n*q*(1-q)*p*p) AS haa, sum(n*q*(1-q)*p) AS hab, sum(n*q*(1-q)) AS hbb
+            FROM (SELECT w.*, a, b, 1/(1+exp(-(a*p+b))) AS q FROM w, s{i})),
+          s{i + 1} AS (SELECT a-(hbb*ga-hab*gb)/(haa*hbb-hab*hab) AS a, b-(haa*gb-hab*ga)/(haa*hbb-hab*hab) AS b FROM g{i})"""
+        )
+    out["calibrate_sigmoid"] = _scored(
+        f""", k AS (SELECT count(*) FILTER (y=1)::DOUBLE AS pos, count(*) FILTER (y=0)::DOUBLE AS neg FROM scored),
+        w AS (SELECT p, count(*)::DOUBLE AS n,
+          (count(*) FILTER (y=1)*(any_value(pos)+1)/(any_value(pos)+2) + count(*) FILTER (y=0)/(any_value(neg)+2))/count(*) AS t
+          FROM scored, k GROUP BY p), {', '.join(steps)}
+        SELECT {_r('p', 'score', 4)}, {_r('1/(1+exp(-(a*p+b)))', 'calibrated', 4)}, n::BIGINT AS n_rows FROM w, s12"""
+    )
+
     out["default_rate_by_grade"] = _clean(
         f"""SELECT grade, count(*) AS n_loans, {_r('avg(loan_status)', 'default_rate')},
         {_r('avg(int_rate)', 'mean_int_rate')}, {_r('avg(loan_amnt/(annual_inc+1))', 'mean_loan_to_income')},

@@ -446,6 +446,11 @@ def histogram(spark: SparkSession, d: str) -> DataFrame:
     return rounded(curves.histogram(df, names, 30, by="loan_status"))
 
 
+@query
+def histogram_auto(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(curves.histogram(staged(spark, d, NUMERIC), NUMERIC))
+
+
 # --- drift -------------------------------------------------------------------------------------
 
 
@@ -718,7 +723,8 @@ def calibrate_isotonic(spark: SparkSession, d: str) -> DataFrame:
 def calibrate_sigmoid(spark: SparkSession, d: str) -> DataFrame:
     df = scored_loans(spark, d)
     fitted = calibrate.fit_sigmoid(df, "loan_status", "p")
-    return curves.calibration_curve(fitted.transform(df, "p"), "loan_status", "calibrated")
+    scores = df.groupBy(F.col("p").alias("score")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return rounded(fitted.transform(scores, "score").select("score", "calibrated", "n_rows"), 4)
 
 
 @query
@@ -735,8 +741,7 @@ def shap_table(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def impute_knn(spark: SparkSession, d: str) -> DataFrame:
-    names = ["loan_amnt", "annual_inc", "dti", "revol_util", "revol_bal", "total_acc"]
-    return knn.impute_knn(staged(spark, d, names, ["id"]), names, "id").drop("loan_status")
+    return knn.impute_knn(staged(spark, d, NUMERIC, ["id"]), NUMERIC, "id").drop("loan_status")
 
 
 @query
