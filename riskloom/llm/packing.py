@@ -32,6 +32,8 @@ WORDS_A_CALL = 1_000
 BATCH_BYTES = 2 << 20
 #: Punctuation that is a unit of the tokenizer on its own when it follows letters (no apostrophe: it may begin one).
 TAIL = b".,;:!?|*#%&-_()[]{}/+=<>"
+#: A digit is a unit on its own, and its id comes from nothing else.
+BETWEEN = b"0"
 #: Fixed: how the special tokens of the file begin.
 SPECIAL = "<|"
 #: A class is ranked in parts: this many, or more once a part would hold over ``PART_PIECES``.
@@ -54,13 +56,14 @@ def _tokenizer(path: str):
 def _learn(tokenizer, cache: dict[bytes, bytes], chunks: set[bytes]) -> None:
     """Put the ids of ``chunks`` into the cache.
 
-    Letters are one unit of the tokenizer and punctuation after them another, so both are encoded for themselves: the
-    units of letters many to a call, told apart by their number. A chunk of another form is encoded as it is.
+    In ASCII, letters are one unit of the tokenizer and punctuation after them another, so both are encoded for
+    themselves: the units of letters many to a call, told apart by their number. Beyond ASCII a letter may become a
+    letter and a mark, and the mark one unit with the punctuation, so all other chunks are encoded as they are.
     """
     ended, words, rest = [], set(), set()
     for chunk in chunks:
         letters = chunk.rstrip(TAIL)
-        if letters.isalpha() or letters.decode().isalpha():
+        if letters.isalpha() and chunk.isascii():
             words.add(letters)
             if len(letters) < len(chunk):
                 tail = chunk[len(letters) :]
@@ -78,10 +81,29 @@ def _learn(tokenizer, cache: dict[bytes, bytes], chunks: set[bytes]) -> None:
             cache.update(zip(some, [ids[a:b] for a, b in zip(cuts, cuts[1:])]))
         else:
             cache.update(_one_by_one(tokenizer, some))
-    cache.update(_one_by_one(tokenizer, rest.difference(cache)))
+    rest = rest.difference(cache)
+    plain = [chunk for chunk in rest if BETWEEN not in chunk]
+    cache.update(_one_by_one(tokenizer, rest.difference(plain)))
+    for i in range(0, len(plain), WORDS_A_CALL):
+        cache.update(_many(tokenizer, plain[i : i + WORDS_A_CALL]))
     cache.update([(chunk, cache[letters] + cache[tail]) for chunk, letters, tail in ended])
 
 
+def _many(tokenizer, chunks: list[bytes]) -> list[tuple[bytes, bytes]]:
+    """The ids of whole chunks, none with ``BETWEEN``, in one call with that character between them."""
+    between = tokenizer.encode(BETWEEN.decode(), add_special_tokens=False).ids
+    if len(between) != 1:
+        return _one_by_one(tokenizer, chunks)
+    joined = (b" " + BETWEEN + b" ").join(chunks).decode()
+    ids = np.array(tokenizer.encode(joined, add_special_tokens=False).ids, "<u4")
+    at = np.flatnonzero(ids == between[0])
+    if len(at) != len(chunks) - 1:
+        return _one_by_one(tokenizer, chunks)
+    starts, ends = (4 * np.append(0, at + 1)).tolist(), (4 * np.append(at, len(ids))).tolist()
+    ids = ids.tobytes()
+    return [(c, ids[a:b]) for c, a, b in zip(chunks, starts, ends)]
+
+
 def _one_by_one(tokenizer, chunks) -> list[tuple[bytes, bytes]]:
     encoded = tokenizer.encode_batch([c.decode() for c in chunks], add_special_tokens=False)
     return [(c, _ids(e)) for c, e in zip(chunks, encoded)]
@@ -91,17 +113,22 @@ def _ids(encoded) -> bytes:
     return np.array(encoded.ids, "<u4").tobytes()
 
 
+def _chunks(text: str) -> list[bytes]:
+    raw = text.encode().replace(b"\n", b" ")
+    if raw.isascii():
+        return raw.lower().split(b" ")
+    return [c.lower() if c.isascii() else c for c in raw.split(b" ")]
+
+
 def token_bytes(texts: list[str | None], path: str) -> list[bytes]:
     """The ids of each text as little-endian 32-bit numbers.
 
-    The tokenizer lower-cases, drops white space and never joins ids across it, so each run between spaces or line feeds
-    is encoded once and looked up after that. Texts that may hold a special token are encoded whole.
+    The tokenizer drops white space and never joins ids across it, so each run between spaces or line feeds is encoded
+    once and looked up after that. Runs of ASCII are lower-cased before; others are not, as the tokenizer composes letters
+    and marks first and lower-cases then. Texts that may hold a special token are encoded whole.
     """
     tokenizer, cache = _tokenizer(path)
-    # bytes lower-case A to Z alone
-    cut = [
-        None if t and SPECIAL in t else (t or "").encode().lower().replace(b"\n", b" ").split(b" ") for t in texts
-    ]
+    cut = [None if t and SPECIAL in t else _chunks(t or "") for t in texts]
     distinct = set().union(*(c for c in cut if c))
     new = distinct.difference(cache)
     if len(cache) + len(new) > CACHED_CHUNKS:

@@ -246,6 +246,21 @@ def test_pack_odd_rows(odd_docs, odd_rows, no_docs, capacity, part_pieces):
     assert packing.pack(no_docs, WORDS).count() == 0
 
 
+def test_chunks_have_the_ids_of_whole_texts():
+    tokenizer = Tokenizer.from_file(WORDS)
+    odd = [
+        "BELEDİYESİ,", "İ,", "İ", "হ\u09df,", "\u0958.", "\ufb2a,", "H̱", "J̌", "T̈,", "W̊", "0İ,0", "É0,", "ΟΔΟΣ,", "ﬁ.", "Ａ1'S",
+        "ä's", "e\u0301,", "\u0301,", "a\u00a0b,", "\u3000", "日本語、0", "\u2028İ.", "Hello,", "don't", "x\u0000,", "٠,", "²", "a\tb.",
+    ]
+    rng = random.Random(6)
+    texts = [*odd, *(" ".join(rng.choices(odd, k=40)) for _ in range(50))]
+    marks = [chr(c) for c in range(0xC0, 0x3000)]
+    texts += [" ".join(f"{a}{c}{b}" for c in marks) for a, b in (("", ","), ("A", ""), ("J", "\u030c!"), ("0", "0."))]
+    got = packing.token_bytes(texts, WORDS)
+    for text, raw in zip(texts, got):
+        assert np.frombuffer(raw, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_best_fit_ranges_match_single_pieces():
     rng = random.Random(4)
     for _ in range(30):
