@@ -9,12 +9,14 @@ next. Near vectors have equal or neighbouring keys in some pass; a link found in
   doubles, until it links no more: such a group is compared whole.
 - Pairs are never written. Each vector carries its window in every pass, a pair counts in the first pass that compares
   its windows, and a group returns a count for each vector and a forest of its links.
-- The number of passes follows from the number of vectors, so that the chance to miss a pair stays the same.
+- The number of passes follows from the number of vectors and from how crowded their keys are, counted over all rows, so
+  that the chance to miss a pair stays the same: where vectors of a label share a direction, a projection tells fewer apart,
+  so keys get longer and passes more. Where whole labels cost fewer comparisons than the passes, labels are compared whole.
 """
 
 from __future__ import annotations
 
-from math import ceil, log, log2
+from math import ceil, inf, log, log2
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.components import components
 from riskloom.llm.ranks import ranked
 from riskloom.llm.topk import usable
-from riskloom.session import Scratch
+from riskloom.session import BROADCAST_ROWS, Scratch
 
 HASHES = 8
 STEP = 0.5
@@ -34,6 +36,8 @@ SEED = 11
 MISSED = 0.01
 #: Chance that a pair at the limit has one projection in the same step, and bits that one projection tells apart.
 SAME_STEP, BITS = 0.68, 3.0
+#: Passes whose keys are counted to see how crowded they are, and the most hashes of a key.
+PROBES, MOST_HASHES = 3, 32
 
 
 def pass_count(n: int, window: int) -> int:
@@ -42,6 +46,45 @@ def pass_count(n: int, window: int) -> int:
     return max(3, ceil(log(MISSED) / log(1 - min(found, 0.9))))
 
 
+def crowding(keys: DataFrame, n: int, window: int, scratch: Scratch) -> tuple[list[float], float]:
+    """The share of ``keys(class, keys)`` that the first 0, 1, 2 … hashes leave in groups of more than ``window`` rows, and
+    how many rows of its label a row has in the mean. There are at most ``n / window`` such groups in a pass."""
+    rows = keys.select("class", F.posexplode("keys").alias("pass", "key"))
+
+    def prefix(hashes: int):
+        return F.xxhash64("pass", "class", F.substring("key", 1, 2 * hashes))
+
+    shares, mates = [], 0.0
+    for hashes in range(MOST_HASHES + 1):
+        groups = rows.groupBy(prefix(hashes).alias("group")).count()
+        if not hashes:
+            groups = scratch.table(groups, "labels")
+            mates = (groups.agg(F.sum(F.col("count").cast("double") ** 2)).first()[0] or 0.0) / max(n * PROBES, 1)
+        crowded = scratch.table(groups.where(F.col("count") > window), "crowded")
+        number, left = crowded.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
+        if not left:
+            break
+        shares.append(left / (n * PROBES))
+        crowded = crowded.select("group")
+        crowded = F.broadcast(crowded) if number <= BROADCAST_ROWS else crowded
+        rows = keys.select("class", F.posexplode("keys").alias("pass", "key"))
+        rows = rows.withColumn("group", prefix(hashes)).join(crowded, "group", "left_semi").drop("group")
+    return shares, mates
+
+
+def crowded_passes(shares: list[float], most: float) -> float:
+    """Passes after which ``MISSED`` of the pairs at the limit are missed where the first 0, 1, 2 … hashes leave ``shares``
+    of the rows crowded; infinite beyond ``most``. Rows that share hashes enough to be a window at most are compared."""
+    apart = -np.diff([1.0, *shares, 0.0])
+    found = np.minimum(SAME_STEP ** np.arange(len(apart)), 0.9)
+    passes = 3
+    while apart @ (1 - found) ** passes > MISSED:
+        passes += 1
+        if passes > most:
+            return inf
+    return passes
+
+
 def _units(vectors) -> np.ndarray:
     width = max(map(len, vectors), default=0)
     out = np.zeros((len(vectors), width))
@@ -58,8 +101,8 @@ def _vectors(column: pa.Array) -> list[np.ndarray]:
     return [values[a:b] for a, b in zip(offsets, offsets[1:])]
 
 
-def _keys(passes: int, seed: int):
-    """The sort key of each vector in each pass."""
+def _keys(passes: int, seed: int, hashes: int):
+    """The sort key of each vector in each pass, beside the first column."""
 
     def run(batches):
         for batch in batches:
@@ -70,13 +113,13 @@ def _keys(passes: int, seed: int):
             for t in range(passes):
                 rng = np.random.Generator(np.random.PCG64([seed, t]))
                 # drawn dimension by dimension, so a shorter vector meets the same numbers
-                directions = rng.standard_normal((units.shape[1], HASHES))
-                shift = np.random.Generator(np.random.PCG64([seed, t, 1])).random(HASHES)
+                directions = rng.standard_normal((units.shape[1], hashes))
+                shift = np.random.Generator(np.random.PCG64([seed, t, 1])).random(hashes)
                 cells = np.floor(units @ directions / STEP + shift).clip(-(1 << 15), (1 << 15) - 1)
                 cells = (cells + (1 << 15)).astype(">u2")
                 keys.append([row.tobytes() for row in cells])
             lists = pa.array([list(k) for k in zip(*keys)], pa.list_(pa.binary()))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), lists], ["node", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], [batch.schema.names[0], "keys"])
 
     return run
 
@@ -178,9 +221,9 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, window: int = WINDO
         )
         classes = scratch.table(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
         n = classes.count()
-        passes = pass_count(n, window)
+        passes, hashes, whole = _plan(classes, n, window, seed, scratch)
 
-        keyed = classes.select("node", "vector").mapInArrow(_keys(passes, seed), "node long, keys array<binary>")
+        keyed = classes.select("node", "vector").mapInArrow(_keys(passes, seed, hashes), "node long, keys array<binary>")
         keyed = scratch.table(keyed.join(classes.select("node", "label"), "node"), "keys")
         every = keyed.select("node", "label", F.posexplode("keys").alias("pass", "key"))
         order = ranked(every, ["pass", "label", "key", "node"], "rank", scratch)
@@ -190,7 +233,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, window: int = WINDO
         labels = F.xxhash64("label").alias("class")
         body = classes.select("node", "size", labels, "vector")
         placed = order.join(body, "node")
-        reach = _reaches(order, placed, cosine, scratch)
+        reach = _whole_reaches(order, classes, scratch) if whole else _reaches(order, placed, cosine, scratch)
         known = order.join(reach, ["pass", "window"], "left").withColumn("reach", F.coalesce("reach", F.lit(1)))
         known = known.groupBy("node").agg(
             F.sort_array(F.collect_list(F.struct("pass", "window", F.col("reach").cast("int").alias("reach")))).alias("p")
@@ -216,6 +259,27 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, window: int = WINDO
         return scratch.result(out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))))
 
 
+def _plan(classes: DataFrame, n: int, window: int, seed: int, scratch: Scratch) -> tuple[int, int, bool]:
+    """How many passes, hashes a key, and whether one pass compares labels whole instead."""
+    probe = classes.select(F.xxhash64("label").alias("class"), "vector")
+    probe = probe.mapInArrow(_keys(PROBES, seed, MOST_HASHES), "class long, keys array<binary>")
+    shares, mates = crowding(scratch.table(probe, "probe"), n, window, scratch)
+    even = pass_count(n, window)
+    # a pass compares a window with two, a label compared whole with half of its windows
+    passes = crowded_passes(shares, max(even, mates / window / 4))
+    hashes = min(MOST_HASHES, max(HASHES, len(shares) + 1))
+    return (1, hashes, True) if passes == inf else (max(even, passes), hashes, False)
+
+
+def _whole_reaches(order: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(pass, window, reach)``: up to the last window that has a label of this one."""
+    labelled = order.join(classes.select("node", "label"), "node").select("pass", "window", "label").distinct()
+    labelled = scratch.table(labelled, "labelled")
+    last = labelled.groupBy("pass", "label").agg(F.max("window").alias("last"))
+    reach = labelled.join(last, ["pass", "label"]).groupBy("pass", "window").agg(F.max("last").alias("last"))
+    return scratch.table(reach.select("pass", "window", (F.col("last") - F.col("window")).alias("reach")), "reach")
+
+
 def _reaches(order: DataFrame, placed: DataFrame, cosine: float, scratch: Scratch) -> DataFrame:
     """``(pass, window, reach)``: with how many windows after itself each window is compared, at least one."""
     windows = order.select("pass", "window").distinct()

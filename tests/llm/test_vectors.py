@@ -106,3 +106,29 @@ def test_links_of_groups(spark, window):
     assert sum(r.n_links for r in got.values()) >= 0.97 * sum(r[1] for r in want.values())
     same = np.mean([got[i].component_id == want[i][2] for i in want])
     assert same == 1 if window == 1024 else same > 0.97
+
+
+@pytest.mark.parametrize("n, window, mean", [(6_000, 64, 0.9), (6_000, 64, 0.7)])
+def test_links_of_a_shared_direction(spark, n, window, mean):
+    """Planted pairs just above the limit, among vectors of one label whose mean cosine is high."""
+    rng = np.random.default_rng(7)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=1)[:, None]
+
+    centre = np.eye(64)[:1]
+    x = unit(mean**0.5 * centre + (1 - mean) ** 0.5 * unit(rng.normal(size=(n, 64))))
+    planted = 300
+    other = rng.normal(size=(planted, 64))
+    other = unit(other - (other * x[:planted]).sum(axis=1)[:, None] * x[:planted])
+    x[n - planted :] = 0.981 * x[:planted] + (1 - 0.981**2) ** 0.5 * other
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    got = {r.vec_id: r for r in neighbours.near_vectors(frame(spark, rows), window=window).collect()}
+    found = sum(got[i].component_id == got[n - planted + i].component_id for i in range(planted))
+    assert found >= 0.98 * planted
+
+
+def test_crowded_keys_take_more_passes():
+    assert neighbours.crowded_passes([], 99) == 3
+    assert neighbours.crowded_passes([1.0, 0.1], 99) < neighbours.crowded_passes([1.0, 0.9, 0.8, 0.4], 99) < 99
+    assert neighbours.crowded_passes([1.0] * 33, 99) == float("inf")
