@@ -1,8 +1,11 @@
+import inspect
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import attribution, calibrate, importance, metrics, train
+from riskloom.plans import queries
 
 FEATURES = ["a", "b", "c"]
 
@@ -126,3 +129,18 @@ def test_sigmoid_matches_newton(spark):
     out = calibrate.fit_sigmoid(df, "y", "p").transform(df, "p").collect()
     want = 1 / (1 + np.exp(-design @ w))
     assert np.allclose(sorted(r.calibrated for r in out), sorted(want), atol=1e-4)
+
+
+def test_search_assembles_once_and_its_query_runs_in_full(spark, sets, monkeypatch):
+    calls, assembled = [], train.assembled
+    monkeypatch.setattr(train, "assembled", lambda *a: calls.append(a) or assembled(*a))
+    train.hyperparam_search(*sets, FEATURES, "y", n_trials=2, base=train.TreeParams(rounds=1))
+    assert len(calls) == 2
+
+    asked = inspect.signature(train.hyperparam_search)
+    monkeypatch.setattr(queries, "learning_sets", lambda *_: {"train": sets[0], "val": sets[1]})
+    monkeypatch.setattr(train, "hyperparam_search", lambda *a, **k: asked.bind(*a, **k))
+    call = queries.hyperparam_search(spark, "")
+    call.apply_defaults()
+    assert call.arguments["n_trials"] == 50
+    assert (call.arguments["base"].rounds, call.arguments["base"].patience) == (100, 50)
