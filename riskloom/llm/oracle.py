@@ -118,3 +118,34 @@ SELECT p.page_id, p.payload_bytes, p.payload_digest,
   CASE WHEN f.first IS DISTINCT FROM p.page_id THEN f.first END AS refers_to
 FROM p LEFT JOIN firsts f ON p.payload_digest = f.payload_digest
 """
+
+ORACLE["op13_lexical_search"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), counted AS (
+  SELECT r, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM d GROUP BY r, term
+), lengths AS (
+  SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM counted GROUP BY r
+), whole AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths
+), items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counted, whole WHERE term IN (SELECT term FROM items) GROUP BY term
+), scored AS (
+  SELECT i.item_id, c.r, any_value(c.doc_id) AS doc_id, CAST(sum(w.w * ((1000000000 * c.tf) //
+    (1000 * c.tf + 8 * (100 - 90 + (90 * l.n * whole.docs) // whole.terms)))) AS BIGINT) AS score
+  FROM items i JOIN weights w ON i.term = w.term JOIN counted c ON c.term = i.term JOIN lengths l ON l.r = c.r, whole
+  GROUP BY i.item_id, c.r
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

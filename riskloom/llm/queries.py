@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from riskloom.llm import language, minhash, mixing, neighbours, packing, sharding, suffixes, tokencounts, topk, warc
+from riskloom.llm import (
+    alignment, language, lexical, minhash, mixing, neighbours, packing, secretscan, sharding, suffixes, tokencounts, topk, warc,
+)
 from riskloom.llm.oracle import ORACLE
 
 TOKENIZERS = corpus_pipeline.TOKENIZERS
 PIECES = str(Path(TOKENIZERS) / "piece_bpe_32k.model")
 WORDS = str(Path(TOKENIZERS) / "word_bpe_49k.json")
+BYTES = str(Path(TOKENIZERS) / "byte_bpe_50k.json")
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -85,10 +88,31 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), WORDS)
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secretscan.scan(_table(spark, sf_dir, "documents"))
+    names = F.array(*[F.lit(k) for k in secretscan.KINDS])
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", names[x.kind], x.start, x.end)), ",")
+
+    base = F.filter("spans", lambda x: x.kind < 3)
+    counts = [F.size(F.filter("spans", lambda x: x.kind == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(secretscan.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, _ = alignment.aligned(_table(spark, sf_dir, "documents"), BYTES, PIECES, digest=True)
+    return docs.withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_top_products, op3_language, op4_near_duplicates, op5_mixing, op6_near_vectors,
-        op7_repeated_bytes, op8_sharding, op9_warc, op10_packing,
+        op7_repeated_bytes, op8_sharding, op9_warc, op10_packing, op11_secret_scan, op12_alignment, op13_lexical_search,
     )
 } | {"pipeline": corpus_pipeline.run}
