@@ -320,3 +320,16 @@ def test_scan_of_a_corpus(spark, no_docs):
     assert sum(net_of[1000 + i] > 0 for i in range(50)) >= 47
     assert sum(net_of[i] > 0 for i in range(300)) <= 6
     assert secretscan.scan(no_docs).count() == 0
+
+
+def test_quick_ids_are_those_of_the_file():
+    """Every entry of the vocabulary, and random texts of all letters that the quick way takes."""
+    file = Tokenizer.from_file(BYTES)
+    file.encode_special_tokens = True
+    side = alignment.Side.of(BYTES)
+    rng = random.Random(2)
+    texts = [b.decode() for b in side.bytes if b.decode(errors="ignore").encode() == b]
+    texts += ["".join(chr(rng.choice([rng.randrange(0x500), rng.randrange(32, 127)])) for _ in range(60)) for _ in range(3000)]
+    texts += ["don't I'LL we'd  \n\n x \u0085y \t ", "'s's 've1 ½²³ǅʰ̀ͅ͸", "a" * 3000, " " * 500 + "x"]
+    whole = [e.ids for e in file.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    assert [x.tolist() for x in side.ids(texts)] == whole
