@@ -145,14 +145,15 @@ def monitored_metrics(
     return wide.select(*groups, *names).unpivot(list(groups), names, "metric", "value")
 
 
-def objective_metric(df: DataFrame, label: str, score: str, metric: str) -> DataFrame:
+def objective_metric(df: DataFrame, label: str, score: str, metric: str, groups: Sequence[str] = ()) -> DataFrame:
     """The one number a parameter search maximises; here a score must be above one half to count as a default."""
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}; one of {', '.join(METRICS)}")
     if metric == "auc":
-        return roc_auc(df, label, score).select(F.lit(metric).alias("metric"), F.col("roc_auc").alias("value"))
-    counts = _counts(df, label, score, THRESHOLD, (), strict=True)
-    return counts.select(F.lit(metric).alias("metric"), _basic(*_cells())[metric].alias("value"))
+        found = roc_auc(df, label, score, groups)
+        return found.select(*groups, F.lit(metric).alias("metric"), F.col("roc_auc").alias("value"))
+    counts = _counts(df, label, score, THRESHOLD, groups, strict=True)
+    return counts.select(*groups, F.lit(metric).alias("metric"), _basic(*_cells())[metric].alias("value"))
 
 
 def objective_metrics(df: DataFrame, label: str, score: str) -> DataFrame:

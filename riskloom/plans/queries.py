@@ -687,8 +687,8 @@ def score_table(spark: SparkSession, d: str) -> DataFrame:
 @query
 def hyperparam_search(spark: SparkSession, d: str) -> DataFrame:
     sets = learning_sets(spark, d)
-    base = train.TreeParams(seed=SEED)
-    return train.hyperparam_search(sets["train"], sets["val"], LEARNED, "loan_status", base=base, parallelism=2)
+    base = train.TreeParams(rounds=train.MOST_ROUNDS, seed=SEED)
+    return train.hyperparam_search(sets["train"], sets["val"], LEARNED, "loan_status", base=base)
 
 
 @query

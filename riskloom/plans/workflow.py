@@ -8,7 +8,7 @@ survive. Everything fitted (bounds, fills, scales, categories, selection) is fit
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession
@@ -141,7 +141,7 @@ def build(raw: DataFrame, base: str, s: Settings) -> Built:
     params = s.params
     if s.trials:
         reports["search"] = train.hyperparam_search(
-            fit_rows, held, features, s.target, s.trials, s.metric, s.seed, params
+            fit_rows, held, features, s.target, s.trials, s.metric, s.seed, replace(params, rounds=train.MOST_ROUNDS)
         )
         params = train.best_params(reports["search"], params)
     model = train.train_gbt(fit_rows, features, s.target, params, held)

@@ -90,7 +90,7 @@ def test_contributions_against_all_subsets():
 
 
 def test_search_ranks_trials(sets):
-    found = train.hyperparam_search(*sets, FEATURES, "y", n_trials=2, base=train.TreeParams(rounds=2), parallelism=2)
+    found = train.hyperparam_search(*sets, FEATURES, "y", n_trials=2, base=train.TreeParams(rounds=2))
     rows = found.orderBy("rank").collect()
     assert [r["rank"] for r in rows] == [1, 2] and rows[0].score >= rows[1].score
     assert 0.01 <= train.best_params(found).learning_rate <= 0.3
@@ -131,16 +131,21 @@ def test_sigmoid_matches_newton(spark):
     assert np.allclose(sorted(r.calibrated for r in out), sorted(want), atol=1e-4)
 
 
-def test_search_assembles_once_and_its_query_runs_in_full(spark, sets, monkeypatch):
-    calls, assembled = [], train.assembled
-    monkeypatch.setattr(train, "assembled", lambda *a: calls.append(a) or assembled(*a))
-    train.hyperparam_search(*sets, FEATURES, "y", n_trials=2, base=train.TreeParams(rounds=1))
-    assert len(calls) == 2
-
+def test_the_search_query_runs_in_full(spark, sets, monkeypatch):
     asked = inspect.signature(train.hyperparam_search)
     monkeypatch.setattr(queries, "learning_sets", lambda *_: {"train": sets[0], "val": sets[1]})
     monkeypatch.setattr(train, "hyperparam_search", lambda *a, **k: asked.bind(*a, **k))
     call = queries.hyperparam_search(spark, "")
     call.apply_defaults()
     assert call.arguments["n_trials"] == 50
-    assert (call.arguments["base"].rounds, call.arguments["base"].patience) == (100, 50)
+    assert (call.arguments["base"].rounds, call.arguments["base"].patience) == (10_000, 50)
+
+
+def test_first_trees_are_those_of_a_shorter_fit(sets, model):
+    whole = train.train_gbt(sets[0], FEATURES, "y", train.TreeParams(rounds=5, max_depth=3))
+    short = train.train_gbt(sets[0], FEATURES, "y", train.TreeParams(rounds=2, max_depth=3))
+    cut = train.first_trees(whole, 2)
+    assert cut.toDebugString.splitlines()[1:] == short.toDebugString.splitlines()[1:]
+    rows = [[r.p for r in train.score_table(m, sets[1], FEATURES, ["id"]).orderBy("id").collect()] for m in (cut, short)]
+    assert rows[0] == rows[1]
+    assert cut.featureImportances == short.featureImportances
