@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
 SPREAD_SPLITS = 8
-_scopes: list[list[str]] = []
+#: The open scope of the running thread or task, as the list of what was made in it.
+_scope: ContextVar[list[str] | None] = ContextVar("riskloom_scope", default=None)
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -50,8 +52,9 @@ def _local_root() -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the work folder; two runs never share one. It goes with the ``scope`` around the call."""
     path = f"{work_root(spark)}/riskloom/{name}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    made = _scope.get()
+    if made is not None:
+        made.append(path)
     return path
 
 
@@ -73,12 +76,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 @contextmanager
 def scope(spark: SparkSession):
-    """Delete every table and folder that was made below the work folder inside; consume the results before it ends."""
-    _scopes.append([])
+    """Delete every table and folder that was made below the work folder inside; consume the results before it ends.
+
+    A scope belongs to its thread, so scopes of several threads, or of streams, keep out of each other's tables.
+    """
+    made: list[str] = []
+    outer = _scope.get()
+    _scope.set(made)
     try:
         yield
     finally:
-        for path in _scopes.pop():
+        if _scope.get() is made:
+            _scope.set(outer)
+        for path in made:
             delete_folder(spark, path)
 
 
