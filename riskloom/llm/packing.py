@@ -25,9 +25,12 @@ from riskloom.session import BROADCAST_ROWS, Scratch
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_CHUNKS = 800_000
-#: As many may wait in a worker for its next task.
-WAITING_CHUNKS = 100_000
+#: What the cache of a worker may hold during a task, and keep for the next one.
+CACHED_BYTES, WAITING_BYTES = 160 << 20, 120 << 20
+#: Bytes of a cached chunk beside its own and those of its ids, which are at most four for each of its own.
+ENTRY_BYTES = 140
+#: Longer chunks are rarely seen again and leave the cache with their batch.
+LONG_CHUNK = 256
 WORDS_A_CALL = 1_000
 BATCH_BYTES = 2 << 20
 #: Punctuation that is a unit of the tokenizer on its own when it follows letters (no apostrophe: it may begin one).
@@ -40,19 +43,28 @@ SPECIAL = "<|"
 SALTS = 16
 PART_PIECES = 1_000_000
 
+#: Fixed: the first bytes of the marks that compose with ASCII letters (U+0300 to U+037F).
+MARKS = (b"\xcc", b"\xcd")
+
 _tokenizers: dict[str, tuple] = {}
 
 
 def _tokenizer(path: str):
-    """The tokenizer of this worker and its cache of words."""
+    """The tokenizer of this worker, its cache of words, and (in a list of one) about how many bytes that holds."""
     if path not in _tokenizers:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {b"": b""})
+        _tokenizers[path] = (Tokenizer.from_file(path), {b"": b""}, [0])
     return _tokenizers[path]
 
 
+def _empty(path: str) -> None:
+    _, cache, held = _tokenizer(path)
+    cache.clear()
+    cache[b""], held[0] = b"", 0
+
+
 def _learn(tokenizer, cache: dict[bytes, bytes], chunks: set[bytes]) -> None:
     """Put the ids of ``chunks`` into the cache.
 
@@ -115,8 +127,8 @@ def _ids(encoded) -> bytes:
 
 def _chunks(text: str) -> list[bytes]:
     raw = text.encode().replace(b"\n", b" ")
-    if raw.isascii():
-        return raw.lower().split(b" ")
+    if raw.isascii() or not any(mark in raw for mark in MARKS):
+        return raw.lower().split(b" ")  # A-Z only
     return [c.lower() if c.isascii() else c for c in raw.split(b" ")]
 
 
@@ -124,25 +136,31 @@ def token_bytes(texts: list[str | None], path: str) -> list[bytes]:
     """The ids of each text as little-endian 32-bit numbers.
 
     The tokenizer drops white space and never joins ids across it, so each run between spaces or line feeds is encoded
-    once and looked up after that. Runs of ASCII are lower-cased before; others are not, as the tokenizer composes letters
-    and marks first and lower-cases then. Texts that may hold a special token are encoded whole.
+    once and looked up after that. A-Z are lower-cased before; in texts with marks that compose with them only in runs of
+    ASCII, as the tokenizer composes first and lower-cases then. Texts that may hold a special token are encoded whole.
     """
-    tokenizer, cache = _tokenizer(path)
+    tokenizer, cache, held = _tokenizer(path)
     cut = [None if t and SPECIAL in t else _chunks(t or "") for t in texts]
     distinct = set().union(*(c for c in cut if c))
     new = distinct.difference(cache)
-    if len(cache) + len(new) > CACHED_CHUNKS:
-        cache.clear()
-        cache[b""] = b""
+    size = 5 * sum(map(len, new)) + ENTRY_BYTES * len(new)
+    if held[0] + size > CACHED_BYTES:
+        _empty(path)
         new = distinct - {b""}
+        size = 5 * sum(map(len, new)) + ENTRY_BYTES * len(new)
     if new:
         _learn(tokenizer, cache, new)
-    return [
+    found = [
         b"".join(map(cache.__getitem__, chunks))
         if chunks is not None
         else _ids(tokenizer.encode(text, add_special_tokens=False))
         for text, chunks in zip(texts, cut)
     ]
+    long = [c for c in new if len(c) > LONG_CHUNK]
+    for chunk in long:
+        del cache[chunk]
+    held[0] += size - 5 * sum(map(len, long)) - ENTRY_BYTES * len(long)
+    return found
 
 
 def _cut(path: str, capacity: int):
@@ -161,10 +179,8 @@ def _cut(path: str, capacity: int):
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             arrays = [pa.array(c, t) for c, t in zip(columns, types)]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "piece", "start", "length", "ids_crc32"])
-        cache = _tokenizer(path)[1]
-        if len(cache) > WAITING_CHUNKS:
-            cache.clear()
-            cache[b""] = b""
+        if _tokenizer(path)[2][0] > WAITING_BYTES:
+            _empty(path)
 
     return run
 

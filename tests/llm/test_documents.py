@@ -319,3 +319,41 @@ def test_best_paths_match_another_unigram_model():
     tokens = sorted({"".join(rng.choices("abc", k=rng.randint(1, 30))) for _ in range(500)})
     counts = tokencounts.pretoken_counts([t.encode() for t in tokens], vocabulary)
     assert counts.tolist() == [len(model.encode(t).ids) for t in tokens]
+
+
+def test_cache_of_unspaced_texts_stays_small():
+    """Texts of one long chunk each do not pile up, and batches of new words end within the stated size."""
+    rng = random.Random(8)
+    tokenizer = Tokenizer.from_file(WORDS)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 3000)]
+    packing._empty(WORDS)
+    for i in range(0, 2000, 100):
+        texts = ["".join(rng.choices(letters, k=7000)) for _ in range(100)]
+        got = packing.token_bytes(texts, WORDS)
+        assert got[0] == np.array(tokenizer.encode(texts[0], add_special_tokens=False).ids, "<u4").tobytes()
+    _, cache, held = packing._tokenizer(WORDS)
+    assert held[0] == 0 and len(cache) == 1
+
+
+def test_cache_keeps_within_its_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_BYTES", 200_000)
+    packing._empty(WORDS)
+    for i in range(30):
+        packing.token_bytes([words(300, i), "É" + words(50, i)], WORDS)
+        _, cache, held = packing._tokenizer(WORDS)
+        assert sum(len(k) + len(v) + packing.ENTRY_BYTES for k, v in cache.items()) - packing.ENTRY_BYTES <= 2 * held[0] <= 400_000
+
+
+def test_capitals_beside_marks():
+    """Capitals in texts beyond ASCII, with and without marks that compose with them."""
+    rng = random.Random(4)
+    tokenizer = Tokenizer.from_file(WORDS)
+    near = [*"ABCJHTWYIKabcjhtwy.,'!#", *"ÉÀßÑİıΣσςЁйŒÅﬁ½Ωǅ漢ก়ড়য়"]
+    marks = [chr(c) for c in (*range(0x300, 0x345), 0x0483, 0x05BC, 0x093C, 0x3099, 0x1DC0, 0x20D0, 0xFE20)]
+    texts = []
+    for i in range(3000):
+        letters = near + (marks if i % 2 else marks[-6:])
+        texts.append(" ".join("".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(6)))
+    got = packing.token_bytes(texts, WORDS)
+    for text, ids in zip(texts, got):
+        assert ids == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
