@@ -2,20 +2,22 @@
 
 A missing value becomes the mean of that column over the ``k`` nearest rows that have it, by the distance over the
 coordinates both rows have, scaled up to all coordinates. Comparing every pair is quadratic, so the rows are first
-put into cells: a quantile grid over the columns that spread most, split further by which values are missing. Per
-cell a small summary (row count and smallest and largest value of each column) bounds the distance from any row to
-any row of the cell. A first search looks at one chunk of the most promising cell, which gives k distances and so an
-upper bound for the k-th; the second search visits every cell that can come closer than that. Nothing is sampled or
-capped: whatever the first search finds, the second makes the answer the exact one.
-
-Cells with many rows are cut into chunks, and chunks many rows ask for are searched by several tasks, so no group
-grows with the data. Only the k best per (row, column, chunk) leave a task.
+put into a hierarchy of nodes. The roots are the patterns of values that are there; a node of many rows is cut at the
+quartiles of the columns that spread most in it, all nodes of a level at once, until every leaf is small. The depth grows
+with the logarithm of the table, leaves stay as they are, and the nodes are a table like any other.
+
+Per node, the smallest and largest value of each column bound the distance from a row to any row below the node. A first
+descent takes the most promising child of each level; the leaf it ends in gives k distances and so an upper bound for the
+k-th. The second descent joins, level by level, the nodes that can hold something closer than that and searches their
+leaves. Nothing is sampled or capped: whatever the first search finds, the second makes the answer the exact one.
+
+Leaves that many rows ask for are searched by several tasks, so no group grows with the data. Only the k best per
+(row, column, leaf) leave a task.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -23,17 +25,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators.impute import fit_mean
-from riskloom.operators.ordered import cut_points, finite, with_bucket
-from riskloom.session import written
+from riskloom.operators.ordered import finite
+from riskloom.session import checked_broadcast, written
 
 NEIGHBOURS = 5
-GRID_COLUMNS = 3
-MAX_CUTS = 40
-CELL_ROWS = 1_200
-CHUNK_ROWS = 20_000
+LEAF_ROWS = 1_200
+SPLIT_COLUMNS = 3
+SPLIT_PARTS = 4
 ASKING_ROWS = 20_000
-MAX_CELLS = 200_000
 WORK_CELLS = 200_000
+#: The rows' share of error in a bound, from adding squares in another order.
+SLACK = 1e-9
 
 
 def _vector(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
@@ -43,137 +45,126 @@ def _vector(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
     return values.withColumn("pattern", pattern)
 
 
-def _grid_columns(donors: DataFrame, xs: Sequence[str]) -> list[str]:
-    """The columns with the largest variance, skipping one that repeats a column already taken."""
-    row = donors.agg(*[F.var_pop(x).alias(x) for x in xs]).first()
-    ranked = sorted((x for x in xs if row[x]), key=lambda x: -row[x])[: 2 * GRID_COLUMNS]
-    pairs = [(a, b) for i, a in enumerate(ranked) for b in ranked[i + 1 :]]
-    linked: set[tuple[str, str]] = set()
-    if pairs:
-        found = donors.agg(*[F.corr(a, b).alias(f"{a}_{b}") for a, b in pairs]).first()
-        linked = {(a, b) for (a, b), r in zip(pairs, found) if r is not None and abs(r) > 0.95}
-    taken: list[str] = []
-    for x in ranked:
-        if len(taken) < GRID_COLUMNS and not any((t, x) in linked for t in taken):
-            taken.append(x)
-    return taken
-
-
-def _with_cell(df: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
-    parts: list[Column] = [F.col("pattern")]
-    for x, splits in cuts.items():
-        df = with_bucket(df, x, splits, f"b_{x}")
-        parts.append(F.coalesce(F.col(f"b_{x}").cast("int").cast("string"), F.lit("none")))
-    return df.withColumn("cell", F.concat_ws("|", *parts)).drop(*[f"b_{x}" for x in cuts])
-
-
-def _summary(donors: DataFrame, xs: Sequence[str]) -> DataFrame:
-    bounds = [f(x).alias(f"{n}_{x}") for x in xs for n, f in (("low", F.min), ("high", F.max))]
-    return donors.groupBy("cell", "pattern").agg(F.count(F.lit(1)).alias("n"), *bounds)
-
-
-def _cells(donors: DataFrame, xs: Sequence[str]) -> tuple[DataFrame, pd.DataFrame]:
-    """The donors with their cell, and the summary; coarser cuts until the summary fits its limit."""
-    n = donors.count()
-    grid = _grid_columns(donors, xs)
-    cuts = min(MAX_CUTS, max(1, math.ceil((n / CELL_ROWS) ** (1 / max(1, len(grid))))))
-    while True:
-        splits = cut_points(donors, grid, cuts) if grid and cuts > 1 else {}
-        placed = _with_cell(donors, splits)
-        rows = _summary(placed, xs).limit(MAX_CELLS + 1).collect() if cuts > 1 else _summary(placed, xs).collect()
-        if len(rows) <= MAX_CELLS or cuts == 1:
-            return placed, pd.DataFrame([r.asDict() for r in rows])
-        cuts //= 2
+def _boxes(rows: DataFrame, xs: Sequence[str]) -> DataFrame:
+    """A row per node: its size, and each column's bounds and variance, null where the node's pattern lacks the column."""
+    measured = [
+        f(x).alias(f"{name}_{x}") for x in xs for name, f in (("low", F.min), ("high", F.max), ("spread", F.var_pop))
+    ]
+    return rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *measured)
 
 
-class _Searcher:
-    """Which cells can hold one of the k nearest rows; built once per task from the cell summary.
+def _cut(rows: DataFrame, inner: DataFrame, xs: Sequence[str]) -> DataFrame:
+    """The rows below ``inner`` nodes, each moved to the child it falls in.
 
-    Cells are grouped by which values they have, so a row and a group always share the same columns.
+    A cut lies above the smallest value, so every cut leaves rows on both sides, however hot a value is.
     """
+    spans = [
+        F.struct(F.col(f"spread_{x}").alias("spread"), F.lit(i).alias("i"), F.col(f"low_{x}").alias("low"), F.col(f"high_{x}").alias("high"))
+        for i, x in enumerate(xs)
+    ]
+    widest = F.reverse(F.array_sort(F.filter(F.array(*spans), lambda s: s["high"] > s["low"])))
+    chosen = checked_broadcast(inner.select("node", F.slice(widest, 1, SPLIT_COLUMNS).alias("chosen")))
+    values = F.array(*xs)
+    sides = range(SPLIT_COLUMNS)
+    placed = rows.join(chosen, "node").withColumns({f"v{i}": F.get(values, F.get("chosen", F.lit(i))["i"]) for i in sides})
+    shares = [i / SPLIT_PARTS for i in range(1, SPLIT_PARTS)]
+    lows = {i: F.get("chosen", F.lit(i))["low"] for i in sides}
+    points = placed.groupBy("node").agg(
+        *[F.percentile_approx(f"v{i}", shares, 1_000).alias(f"p{i}") for i in sides],
+        *[F.min(F.when(F.col(f"v{i}") > lows[i], F.col(f"v{i}"))).alias(f"next{i}") for i in sides],
+        *[F.min(lows[i]).alias(f"low{i}") for i in sides],
+    )
+
+    def cuts(i: int) -> Column:
+        above = F.array_distinct(F.filter(f"p{i}", lambda c: c > F.col(f"low{i}")))
+        return F.when(F.size(above) > 0, above).otherwise(F.array(f"next{i}"))
+
+    def part(i: int) -> Column:
+        return F.coalesce(F.size(F.filter(f"cuts{i}", lambda c: c <= F.col(f"v{i}"))), F.lit(0))
+
+    found = points.select("node", *[cuts(i).alias(f"cuts{i}") for i in sides])
+    met = placed.join(checked_broadcast(found), "node")
+    parts = [part(i) for i in sides]
+    child = F.concat_ws("/", "node", F.concat(*[p.cast("string") for p in parts]))
+    return met.select(child.alias("node"), "key", *xs)
 
-    def __init__(self, summary: pd.DataFrame, d: int, k: int) -> None:
-        self.d, self.k = d, k
-        self.names = summary["cell"].to_numpy()
-        self.chunks = summary["chunks"].to_numpy()
-        low = summary[[f"low_x{i}" for i in range(d)]].to_numpy(dtype=float)
-        high = summary[[f"high_x{i}" for i in range(d)]].to_numpy(dtype=float)
-        n = summary["n"].to_numpy()
-        self.groups = []
-        for pattern, at in summary.groupby("pattern").indices.items():
-            has = np.array([c == "1" for c in pattern])
-            self.groups.append((has, at, np.ascontiguousarray(low[at].T), np.ascontiguousarray(high[at].T), n[at]))
-        # the groups with the most cells first
-        self.groups.sort(key=lambda g: -len(g[1]))
-
-    def _bound(self, x: np.ndarray, shared: np.ndarray, low: np.ndarray, high: np.ndarray, upper: bool) -> np.ndarray:
-        """Squared distance bound from each row to each cell over the ``shared`` columns."""
-        total = np.zeros((len(x), low.shape[1]))
-        for j in np.flatnonzero(shared):
-            v = x[:, [j]]
-            if upper:
-                side = np.maximum(np.abs(v - low[j]), np.abs(v - high[j]))
-            else:
-                side = np.maximum(np.maximum(low[j] - v, v - high[j]), 0.0)
-            side *= side
-            total += side
-        return total * (self.d / shared.sum())
-
-    def _patterns(self, x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        known = ~np.isnan(x)
-        kinds, which = np.unique(known, axis=0, return_inverse=True)
-        for i, kind in enumerate(kinds):
-            yield kind, np.flatnonzero(which.ravel() == i)
-
-    def _steps(self, rows: np.ndarray, cells: int) -> Iterator[np.ndarray]:
-        step = max(1, WORK_CELLS // max(1, cells))
-        for start in range(0, len(rows), step):
-            yield rows[start : start + step]
-
-    def promising(self, x: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
-        """(rows, column, cell) for a first look: a cell with k rows or more whose farthest row is nearest."""
-        for known, rows in self._patterns(x):
-            for column in np.flatnonzero(~known):
-                for has, at, low, high, n in self.groups:
-                    full = np.flatnonzero(n >= self.k)
-                    if not has[column] or not (has & known).any() or not len(full):
-                        continue
-                    for part in self._steps(rows, len(full)):
-                        far = self._bound(x[part], has & known, low[:, full], high[:, full], upper=True)
-                        yield part, column, at[full[far.argmin(axis=1)]]
-                    break
-
-    def _safe_limit(self, row: np.ndarray, known: np.ndarray, column: int) -> float:
-        """A bound for the k-th distance from the cells alone."""
-        far, counts = [], []
-        for has, _, low, high, n in self.groups:
-            if has[column] and (has & known).any():
-                far.append(self._bound(row[None, :], has & known, low, high, upper=True)[0])
-                counts.append(n)
-        if not far:
-            return np.inf
-        far, counts = np.concatenate(far), np.concatenate(counts)
-        order = np.argsort(far, kind="stable")
-        enough = np.searchsorted(np.cumsum(counts[order]), self.k)
-        return far[order[enough]] if enough < len(order) else np.inf
-
-    def needed(self, x: np.ndarray, limits: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
-        """(rows, column, cells): every cell that may hold a row at least as near as the limit."""
-        for known, rows in self._patterns(x):
-            missing = np.flatnonzero(~known)
-            for i in rows:
-                for column in missing:
-                    if np.isnan(limits[i, column]):
-                        limits[i, column] = self._safe_limit(x[i], known, column)
-            for has, at, low, high, _ in self.groups:
-                asked = [c for c in missing if has[c]]
-                if not asked or not (has & known).any():
-                    continue
-                for part in self._steps(rows, len(at)):
-                    near = self._bound(x[part], has & known, low, high, upper=False)
-                    for column in asked:
-                        hit, cell = np.nonzero(near <= limits[part, column][:, None] * (1 + 1e-9))
-                        yield part[hit], column, at[cell]
+
+def _tree(donors: DataFrame, xs: Sequence[str], k: int) -> tuple[DataFrame, list[DataFrame]]:
+    """``(cell, key, x…)``, the donors in their leaves, and the nodes of each level, roots first.
+
+    A node is ``(parent, node, n, leaf, low…, high…)``. An inner node has so many rows that one child holds ``k``.
+    """
+    most = max(LEAF_ROWS, k * SPLIT_PARTS**SPLIT_COLUMNS)
+    rows = donors.select(F.col("pattern").alias("node"), "key", *xs)
+    leaves, levels = [], []
+    while True:
+        rows = written(rows, "knn-rows")
+        spread = F.lit(False)
+        for x in xs:
+            spread = spread | F.coalesce(F.col(f"high_{x}") > F.col(f"low_{x}"), F.lit(False))
+        parent = F.regexp_extract("node", "^(.*)/", 1).alias("parent")
+        boxes = _boxes(rows, xs).select(parent, "*", ((F.col("n") <= most) | ~spread).alias("leaf"))
+        nodes = written(boxes, "knn-nodes")
+        levels.append(nodes)
+        ends = checked_broadcast(nodes.where("leaf").select("node"))
+        leaves.append(rows.join(ends, "node", "left_semi").withColumnRenamed("node", "cell"))
+        inner = nodes.where("not leaf")
+        if not inner.take(1):
+            break
+        rows = _cut(rows, inner, xs)
+    placed = leaves[0]
+    for more in leaves[1:]:
+        placed = placed.unionByName(more)
+    return placed, levels
+
+
+def _bound(xs: Sequence[str], upper: bool) -> Column:
+    """Squared distance from a row to the nearest or the farthest point of a node's box; null if they share no column."""
+    total, shared = F.lit(0.0), F.lit(0)
+    for x in xs:
+        v, low, high = F.col(x), F.col(f"low_{x}"), F.col(f"high_{x}")
+        # greatest passes over nulls
+        side = F.coalesce(F.greatest(v - low, high - v), F.lit(0.0)) if upper else F.greatest(low - v, v - high, F.lit(0.0))
+        # a product would hold the side twice, and the sum must stay small enough to be compiled
+        total = total + F.pow(side, F.lit(2.0))
+        shared = shared + (v.isNotNull() & low.isNotNull()).cast("int")
+    return total * F.lit(float(len(xs))) / F.nullif(shared, F.lit(0))
+
+
+def _children(at: DataFrame | None, requests: DataFrame, level: DataFrame, xs: Sequence[str]) -> DataFrame:
+    """Each request with every node of ``level`` below the nodes it is at; at the roots, with those that hold its column."""
+    if at is None:
+        held = F.filter(F.array(*[F.when(F.col(f"low_{x}").isNotNull(), F.lit(i)) for i, x in enumerate(xs)]), lambda c: c.isNotNull())
+        return requests.join(checked_broadcast(level.select("*", F.explode(held).alias("column"))), "column")
+    return at.withColumnRenamed("node", "parent").join(checked_broadcast(level), "parent")
+
+
+def _descend(requests: DataFrame, levels: list[DataFrame], xs: Sequence[str], k: int, first: bool) -> DataFrame:
+    """``(key, column, cell, x…)``: the leaves to search for each request, a row per missing value.
+
+    The first descent follows one child a level; the full one all that can come as near as the request's ``limit``.
+    """
+    carried = ["key", "column", *xs, *([] if first else ["limit"])]
+    at, reached = None, []
+    # a request multiplies into the nodes it meets: spread them, however few bytes they are
+    requests = requests.repartition(_tasks(requests), "key", "column")
+    for level in levels:
+        met = _children(at, requests, level.drop(*[f"spread_{x}" for x in xs]), xs)
+        if first:
+            # k rows below a node are k distances no larger than the farthest
+            met = met.where(F.col("n") >= k).withColumn("far", _bound(xs, upper=True)).where(F.col("far").isNotNull())
+            taken = F.min(F.struct("far", "node", "leaf")).alias("taken")
+            # folded before the shuffle: the children of a node stay in the task that joined them
+            met = met.groupBy("key", "column").agg(taken, *[F.first(x).alias(x) for x in xs]).select("*", "taken.node", "taken.leaf")
+        else:
+            met = met.where(_bound(xs, upper=False) <= F.col("limit") * (1 + SLACK))
+        met = written(met.select(*carried, "node", "leaf"), "knn-descent")
+        reached.append(met.where("leaf").select("key", "column", F.col("node").alias("cell"), *xs))
+        at = met.where("not leaf").drop("leaf").repartition(_tasks(requests), "key", "column", "node")
+    out = reached[0]
+    for more in reached[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def _tasks(df: DataFrame) -> int:
@@ -182,34 +173,8 @@ def _tasks(df: DataFrame) -> int:
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _requests(receivers: DataFrame, summary: pd.DataFrame, xs: Sequence[str], k: int, first: bool) -> DataFrame:
-    """``(key, column, cell, chunk, x…)``: a row per missing value and chunk to search."""
-    spark, d = receivers.sparkSession, len(xs)
-    shared = spark.sparkContext.broadcast(summary)
-    bounds = [f"limit{i}" for i in range(d)]
-
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        search = _Searcher(shared.value, d, k)
-        for batch in batches:
-            x, keys = batch[list(xs)].to_numpy(dtype=float), batch["key"].to_numpy()
-            asked = search.promising(x) if first else search.needed(x, batch[bounds].to_numpy(dtype=float).copy())
-            for rows, column, cells in asked:
-                times = np.ones(len(cells), dtype=int) if first else search.chunks[cells]
-                rows, cells = np.repeat(rows, times), np.repeat(cells, times)
-                # the first look takes any one chunk, the full search all of them
-                chunk = rows % search.chunks[cells] if first else np.arange(len(cells)) - np.repeat(np.cumsum(times) - times, times)
-                out = pd.DataFrame({"key": keys[rows], "column": column, "cell": search.names[cells], "chunk": chunk})
-                for a, name in enumerate(xs):
-                    out[name] = x[rows, a]
-                yield out
-
-    schema = "key string, column int, cell string, chunk int, " + ", ".join(f"{x} double" for x in xs)
-    rows = receivers.select("key", *xs, *([] if first else bounds)).repartition(_tasks(receivers), "key")
-    return rows.mapInPandas(ask, schema)
-
-
 def _nearest(asking: pd.DataFrame, donors: pd.DataFrame, xs: Sequence[str], k: int) -> pd.DataFrame:
-    """The k nearest donors of this chunk for each request; equal distances go to the smaller donor key."""
+    """The k nearest donors of this leaf for each request; equal distances go to the smaller donor key."""
     donors = donors.sort_values("key", kind="stable")
     y, names = donors[list(xs)].to_numpy(dtype=float), donors["key"].to_numpy()
     has = ~np.isnan(y)
@@ -260,15 +225,15 @@ def _nearest(asking: pd.DataFrame, donors: pd.DataFrame, xs: Sequence[str], k: i
 
 
 def _search(requests: DataFrame, donors: DataFrame, xs: Sequence[str], k: int) -> DataFrame:
-    """The k best per (key, column) over all chunks asked for: ``(key, column, distance, donor, value)``."""
-    # how many tasks search a chunk, from how many rows ask for it; as many rows as there are chunks
+    """The k best per (key, column) over all leaves asked for: ``(key, column, distance, donor, value)``."""
+    # how many tasks search a leaf, from how many rows ask for it; as many rows as there are leaves
     tasks = F.ceil(F.count(F.lit(1)) / F.lit(float(ASKING_ROWS))).cast("int")
-    asked = requests.groupBy("cell", "chunk").agg(tasks.alias("tasks"))
-    salted = requests.join(asked, ["cell", "chunk"]).withColumn("task", F.pmod(F.xxhash64("key"), "tasks").cast("int"))
-    held = donors.join(asked, ["cell", "chunk"])
+    asked = requests.groupBy("cell").agg(tasks.alias("tasks"))
+    salted = requests.join(asked, "cell").withColumn("task", F.pmod(F.xxhash64("key"), "tasks").cast("int"))
+    held = donors.join(asked, "cell")
     held = held.withColumn("task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)))
 
-    group = ["cell", "chunk", "task"]
+    group = ["cell", "task"]
     n = _tasks(requests)
     asking = salted.select(*group, "key", "column", *xs).repartition(n, *group)
     rows = held.select(*group, "key", *xs).repartition(n, *group)
@@ -286,27 +251,20 @@ def _search(requests: DataFrame, donors: DataFrame, xs: Sequence[str], k: int) -
 
 def _estimates(receivers: DataFrame, donors: DataFrame, xs: Sequence[str], k: int) -> DataFrame:
     """``(key, column, estimate)`` for every missing value that has a row to learn from."""
-    spark = donors.sparkSession
     # rows equal in every column are equally far from anything: k of them are all that can matter
     copies = Window.partitionBy(*xs).orderBy("key")
     donors = donors.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k).drop("copy")
-    placed, summary = _cells(written(donors, "knn-donors"), xs)
-    if summary.empty:
-        return spark.createDataFrame([], "key string, column int, estimate double")
-    summary["chunks"] = np.maximum(1, -(-summary["n"] // CHUNK_ROWS))
-    sizes = spark.createDataFrame(summary[["cell", "chunks"]].values.tolist(), "cell string, chunks int")
-    # a row per cell, at most MAX_CELLS
-    chunked = placed.join(F.broadcast(sizes), "cell")
-    chunked = chunked.withColumn("chunk", F.pmod(F.xxhash64("key"), "chunks").cast("int"))
-    chunked = written(chunked.select("cell", "chunk", "key", *xs), "knn-chunks")
-
-    first = _search(written(_requests(receivers, summary, xs, k, first=True), "knn-first"), chunked, xs, k)
-    reached = first.groupBy("key", "column").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("limit"))
-    limits = reached.where(F.col("n") == k).groupBy("key").agg(
-        *[F.max(F.when(F.col("column") == i, F.col("limit"))).alias(f"limit{i}") for i in range(len(xs))]
-    )
-    requests = _requests(receivers.join(limits, "key", "left"), summary, xs, k, first=False)
-    best = _search(written(requests, "knn-requests"), chunked, xs, k)
+    placed, levels = _tree(donors, xs, k)
+    missing = F.filter(F.array(*[F.when(F.col(x).isNull(), F.lit(i)) for i, x in enumerate(xs)]), lambda c: c.isNotNull())
+    requests = receivers.select("key", F.explode(missing).alias("column"), *xs)
+    requests = written(requests.repartition(_tasks(receivers), "key"), "knn-requests")
+
+    first = _search(_descend(requests, levels, xs, k, first=True), placed, xs, k)
+    limits = first.groupBy("key", "column").agg(F.count(F.lit(1)).alias("found"), F.max("distance").alias("limit"))
+    # no node of k rows to look at: at most k - 1 rows of each pattern can be asked
+    limit = F.when(F.col("found") == k, F.col("limit")).otherwise(F.lit(float("inf"))).alias("limit")
+    bounded = requests.join(limits, ["key", "column"], "left").select("key", "column", *xs, limit)
+    best = _search(_descend(bounded, levels, xs, k, first=False), placed, xs, k)
     # written, or every pass over the filled table would search again
     return written(best.groupBy("key", "column").agg(F.avg("value").alias("estimate")), "knn-estimates")
 

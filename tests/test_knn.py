@@ -32,10 +32,11 @@ def frame(spark, x):
                                  "id string, " + ", ".join(f"{n} double" for n in names)), pdf["id"].to_numpy(), names
 
 
-@pytest.mark.parametrize("cell_rows", [1000, 8])
-def test_matches_all_pairs(spark, monkeypatch, cell_rows):
-    monkeypatch.setattr(knn, "CELL_ROWS", cell_rows)
-    monkeypatch.setattr(knn, "CHUNK_ROWS", 16)
+@pytest.mark.parametrize(("leaf_rows", "parts"), [(1000, 4), (8, 2)])
+def test_matches_all_pairs(spark, monkeypatch, leaf_rows, parts):
+    monkeypatch.setattr(knn, "LEAF_ROWS", leaf_rows)
+    monkeypatch.setattr(knn, "SPLIT_PARTS", parts)
+    monkeypatch.setattr(knn, "SPLIT_COLUMNS", 2)
     monkeypatch.setattr(knn, "ASKING_ROWS", 10)
     rng = np.random.default_rng(3)
     x = np.round(rng.normal(size=(300, 5)) * [100, 30, 10, 1, 0.1], 3)
@@ -70,3 +71,25 @@ def test_fit_on_other_rows(spark):
         want[i] = brute(rows, np.append(keys[:80], keys[i]), 5)[-1]
         want[i] = np.where(np.isnan(x[i]) & np.isnan(want[i]), means, want[i])
     assert np.allclose(got[80:], want[80:], equal_nan=True)
+
+
+def test_leaves_stay_small_and_nodes_nest(spark, monkeypatch):
+    """Hot values and far outliers included, every donor is in one small leaf inside the boxes above it."""
+    monkeypatch.setattr(knn, "LEAF_ROWS", 20)
+    monkeypatch.setattr(knn, "SPLIT_PARTS", 2)
+    monkeypatch.setattr(knn, "SPLIT_COLUMNS", 2)
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(1200, 3)).round(2)
+    x[:700, 0], x[:500, 1] = 3.0, -1.0
+    x[700:710, 2] = 10.0 ** np.arange(10)
+    df, keys, names = frame(spark, x)
+    xs = ["x0", "x1", "x2"]
+    placed, levels = knn._tree(knn._vector(df, names, "id"), xs, 5)
+    rows = placed.toPandas()
+    assert sorted(rows["key"]) == sorted(keys)
+    assert rows.groupby("cell").size().max() <= 20 and len(levels) > 3
+    nodes = pd.concat([level.toPandas() for level in levels]).set_index("node")
+    assert nodes.index.is_unique and nodes[nodes.leaf].n.sum() == 1200
+    for node, row in nodes[nodes.parent != ""].iterrows():
+        above = nodes.loc[row.parent]
+        assert all(above[f"low_{c}"] <= row[f"low_{c}"] and row[f"high_{c}"] <= above[f"high_{c}"] for c in xs)
