@@ -122,6 +122,23 @@ def prefix_sums(
     return freq.select(*keys, value, *sums, *local).join(offsets, keys).select(*out)
 
 
+def global_rank(df: DataFrame, order: Sequence[Column], name: str = "place") -> DataFrame:
+    """Adds the row's place from 1 in the order, which must be strict.
+
+    Rows are put into ranges of the order and written with the number of their range, so that the numbers hold
+    whatever runs again; places inside a range follow from the rows of the ranges before it (a row per range).
+    """
+    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    ranged = written(ranged, "ranged")
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    local = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    # bounded: a row per shuffle partition
+    placed = ranged.withColumn("_local", local).join(F.broadcast(offsets), "_range")
+    return placed.select(*df.columns, (F.col("_offset") + F.col("_local")).alias(name))
+
+
 def value_counts_by_side(df: DataFrame, columns: Sequence[str], sums: dict[str, Column]) -> DataFrame:
     """``(feature, value, sums…)``: the shared frame behind the distribution distances; missing values are left out.
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import io
+import re
 import uuid
 import zipfile
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -44,33 +46,47 @@ def scan_loan_csv(
     return df.where(~is_header)
 
 
+def member_rows(stream: BinaryIO, name: str, skip_rows: int) -> Iterator[pd.DataFrame]:
+    """The rows of the first ``*.csv`` member of a zip archive, in batches.
+
+    Only the directory at the end of the stream and the member itself are read, and the member is inflated piece by
+    piece, so memory depends on the batch and not on the archive.
+    """
+    with zipfile.ZipFile(stream) as archive:
+        members = sorted(m for m in archive.namelist() if m.lower().endswith(".csv"))
+        if not members:
+            raise ValueError(f"no CSV file in {name}")
+        with archive.open(members[0]) as lines:
+            yield from pd.read_csv(
+                lines, skiprows=skip_rows, dtype=str, keep_default_na=False, chunksize=ZIP_BATCH, na_values=[""]
+            )
+
+
 def scan_zip_csv(
     spark: SparkSession, path: str, skip_rows: int = 1, columns: list[str] | None = None
 ) -> DataFrame:
-    """The first ``*.csv`` member of each zip archive, one task per archive, read in batches.
+    """The first ``*.csv`` member of each zip archive, one task per archive, read as a stream in batches.
 
-    A zip archive cannot be split, so files are the unit of parallelism.
+    A zip archive cannot be split, so files are the unit of parallelism. Archives may be of any size; they must be in a
+    store that ``pyarrow.fs`` knows.
     """
     names = columns or LOAN_COLUMNS
     schema = string_schema(names)
 
     def unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
         for batch in batches:
-            for name, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    members = sorted(m for m in archive.namelist() if m.lower().endswith(".csv"))
-                    if not members:
-                        raise ValueError(f"no CSV file in {name}")
-                    with archive.open(members[0]) as lines:
-                        chunks = pd.read_csv(
-                            lines, skiprows=skip_rows, dtype=str, keep_default_na=False, chunksize=ZIP_BATCH,
-                            na_values=[""],
-                        )
-                        for chunk in chunks:
-                            yield chunk.reindex(columns=names).astype(object).where(lambda d: d.notna(), None)
-
-    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
-    return archives.select("path", "content").mapInPandas(unzip, schema)
+            for name in batch["path"]:
+                store, place = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", name))
+                with store.open_input_file(place) as stream:
+                    for chunk in member_rows(stream, name, skip_rows):
+                        yield chunk.reindex(columns=names).astype(object).where(lambda d: d.notna(), None)
+
+    # the path alone: the reader does not open the files
+    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path")
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return archives.repartition(tasks, "path").mapInPandas(unzip, schema)
 
 
 def pack_files(spark: SparkSession, path: str, target: str) -> DataFrame:

@@ -5,6 +5,8 @@ A table is a directory ``base/name/version=N`` of Parquet files; the highest ver
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,12 +33,43 @@ def versions(spark: SparkSession, base: str, name: str) -> list[int]:
     return sorted(found)
 
 
+def _publish(spark: SparkSession, draft: str, target: str, mark: str) -> bool:
+    """Rename a finished draft to ``target`` unless that exists; whether it became the target.
+
+    Some stores move a folder into an existing one instead of failing, so the draft's own mark must be seen in place.
+    """
+    fs, source = _folder(spark, draft)
+    _, goal = _folder(spark, target)
+    if fs.exists(goal):
+        return False
+    fs.rename(source, goal)
+    if fs.exists(_folder(spark, f"{target}/{mark}")[1]):
+        return True
+    astray = _folder(spark, f"{target}/{source.getName()}")[1]
+    if fs.exists(astray):
+        fs.rename(astray, source)
+    if not fs.exists(source):
+        raise OSError(f"{draft} is gone and {target} is not its table")
+    return False
+
+
 def sink_table(df: DataFrame, base: str, name: str, fmt: str = "parquet", keep: int | None = None) -> int:
-    """Write the next version and return its number; with ``keep``, drop all but the newest ``keep`` versions."""
+    """Write the next version and return its number; with ``keep``, drop all but the newest ``keep`` versions.
+
+    The rows go to a draft of its own first. The draft then claims the next number by a rename that does not replace
+    anything, and tries the one after if another writer was faster: every writer ends with a version of its own, and
+    readers see whole versions only. The store must rename folders (object stores without that need a committer).
+    """
     spark = df.sparkSession
+    label = uuid.uuid4().hex
+    draft, mark = f"{base}/{name}/_draft-{label}", f"_writer-{label}"
+    writer = df.write.mode("errorifexists").format(fmt)
+    (writer.option("header", True) if fmt == "csv" else writer).save(draft)
+    fs, marked = _folder(spark, f"{draft}/{mark}")
+    fs.create(marked).close()
     version = (versions(spark, base, name) or [0])[-1] + 1
-    writer = df.write.mode("overwrite").format(fmt)
-    (writer.option("header", True) if fmt == "csv" else writer).save(f"{base}/{name}/version={version}")
+    while not _publish(spark, draft, f"{base}/{name}/version={version}", mark):
+        version += 1
     if keep is not None:
         for old in versions(spark, base, name)[:-keep]:
             fs, path = _folder(spark, f"{base}/{name}/version={old}")
