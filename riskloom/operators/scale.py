@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.ordered import finite, quantile_dict
+from riskloom.session import written
 
 Scales = dict[str, tuple[float, float]]
 
@@ -58,9 +59,11 @@ def scale_robust(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None
 
 # --- Yeo-Johnson -------------------------------------------------------------------------------
 
-GRID_POINTS = 33
-TOLERANCE = 1e-4
-MOST_POWER = 1_000.0
+CELLS = 16
+#: Powers are whole multiples of 1 / POWER_STEPS, so that every engine finds the same one.
+POWER_STEPS = 1_000
+START = (-4 * POWER_STEPS, 4 * POWER_STEPS)
+MOST_POWER = 1_000
 
 
 def yeo_johnson(x: Column, power: Column) -> Column:
@@ -71,52 +74,71 @@ def yeo_johnson(x: Column, power: Column) -> Column:
     return F.when(x >= 0, positive).otherwise(negative)
 
 
-def _best_powers(long: DataFrame, windows: dict[str, tuple[float, float]]) -> dict[str, float]:
-    """Score a grid of powers for every column in one pass and return each column's best."""
-    spark = long.sparkSession
-    grid = [
-        (c, low + i * (high - low) / (GRID_POINTS - 1)) for c, (low, high) in windows.items() for i in range(GRID_POINTS)
-    ]
-    powers = spark.createDataFrame(grid, "feature string, power double")
-    lists = powers.groupBy("feature").agg(F.collect_list("power").alias("powers"))
-    # one short list of powers per column; the rows it multiplies into are combined before the shuffle
-    trials = long.join(F.broadcast(lists), "feature").select("feature", "value", F.explode("powers").alias("power"))
-    scored = trials.groupBy("feature", "power").agg(
-        F.var_pop(yeo_johnson(F.col("value"), F.col("power"))).alias("var"),
-        F.sum(F.signum("value") * F.log1p(F.abs("value"))).alias("log_sum"),
-        F.count(F.lit(1)).alias("n"),
+def _best_steps(values: DataFrame, moments: DataFrame, grids: dict[str, range]) -> dict[str, int]:
+    """The likeliest of a few powers for every column in one pass over the distinct values."""
+    tried = [(c, step, step / POWER_STEPS) for c, grid in grids.items() for step in grid]
+    powers = values.sparkSession.createDataFrame(tried, "feature string, step int, power double")
+    # distances from the transformed mean, as squares of large numbers would cancel; a row per column and power
+    powers = powers.join(moments, "feature").withColumn("centre", yeo_johnson(F.col("mean"), F.col("power")))
+    met = values.join(F.broadcast(powers), "feature")
+    met = met.select("feature", "step", "power", "log_sum", "total", "n", (yeo_johnson(F.col("value"), F.col("power")) - F.col("centre")).alias("t"))
+    # the rows a value multiplies into are combined before the shuffle
+    sums = met.groupBy("feature", "step", "power", "log_sum", "total").agg(
+        F.sum(F.col("n") * F.col("t")).alias("s1"), F.sum(F.col("n") * F.col("t") * F.col("t")).alias("s2")
     )
-    likelihood = -F.col("n") / 2 * F.ln("var") + (F.col("power") - 1) * F.col("log_sum")
-    usable = scored.where((F.col("var") > 0) & (F.col("var") < float("inf")))
-    best = usable.groupBy("feature").agg(F.max_by("power", likelihood).alias("power")).collect()
-    return {r["feature"]: r["power"] for r in best}
+    var = (F.col("s2") - F.col("s1") * F.col("s1") / F.col("total")) / F.col("total")
+    scored = sums.withColumn("var", var).where((F.col("var") > 0) & (F.col("var") < float("inf")))
+    likelihood = -F.col("total") / 2 * F.ln("var") + (F.col("power") - 1) * F.col("log_sum")
+    best = scored.groupBy("feature").agg(F.max(F.struct(likelihood, -F.col("step"))).alias("best"))
+    return {r["feature"]: -r["best"][1] for r in best.collect()}
 
 
 def fit_yeo_johnson(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
-    """The maximum-likelihood power per column, by grids that narrow around the best point.
+    """The maximum-likelihood power per column, to three digits.
 
-    The likelihood has one peak, so each pass keeps the two cells beside the best point; a best point on the
-    border moves the window instead.
+    Each column is folded to its distinct values and their counts once; all columns are searched together over that
+    table. The likelihood has one peak: a best point on the border of the first window moves and widens the window, and once the
+    best point lies inside, each pass keeps the two cells beside it. A column without spread has the power 1.
     """
-    values = df.select(*[finite(c).alias(c) for c in columns])
-    long = values.unpivot([], list(columns), "feature", "value").where(F.col("value").isNotNull())
-    windows = {c: (-4.0, 4.0) for c in columns}
-    found: dict[str, float] = {}
-    while open_windows := {c: w for c, w in windows.items() if w[1] - w[0] > TOLERANCE}:
-        widest = max(abs(edge) for w in open_windows.values() for edge in w)
-        if widest > MOST_POWER:
-            raise ValueError(f"no likeliest power below {MOST_POWER} for {sorted(open_windows)}")
-        best = _best_powers(long.where(F.col("feature").isin(list(open_windows))), open_windows)
-        for c, (low, high) in open_windows.items():
-            if c not in best:  # no spread under any power
-                windows[c] = (1.0, 1.0)
-                found.setdefault(c, 1.0)
+    wide = df.select(*[finite(c).alias(c) for c in columns])
+    long = wide.unpivot([], list(columns), "feature", "value").where(F.col("value").isNotNull())
+    values = written(long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")), "values")
+    weight = F.col("n").cast("double")
+    folded = values.groupBy("feature").agg(
+        F.sum("n").cast("double").alias("total"),
+        (F.sum(weight * F.col("value")) / F.sum(weight)).alias("mean"),
+        F.sum(weight * F.signum("value") * F.log1p(F.abs("value"))).alias("log_sum"),
+        (F.max("value") > F.min("value")).alias("spread"),
+    ).collect()
+    found = {r["feature"]: 1.0 for r in folded}
+    moments = df.sparkSession.createDataFrame(
+        [(r["feature"], r["total"], r["mean"], r["log_sum"]) for r in folded],
+        "feature string, total double, mean double, log_sum double",
+    )
+    windows = {r["feature"]: START for r in folded if r["spread"]}
+    inside: set[str] = set()
+    while windows:
+        grids = {}
+        for c, (low, high) in windows.items():
+            if max(abs(low), abs(high)) > MOST_POWER * POWER_STEPS:
+                raise ValueError(f"no likeliest power below {MOST_POWER} for {c}")
+            step = max(1, -(-(high - low) // CELLS))
+            grids[c] = range(low, high + step, step)
+        best = _best_steps(values.where(F.col("feature").isin(list(windows))), moments, grids)
+        for c, grid in grids.items():
+            if c not in best:  # no finite spread under any power
+                del windows[c]
+                continue
+            at, width = best[c], windows[c][1] - windows[c][0]
+            if c not in inside and at in (grid[0], grid[-1]):
+                windows[c] = (at - width, at + width)
                 continue
-            found[c] = power = best[c]
-            step = (high - low) / (GRID_POINTS - 1)
-            on_border = min(power - low, high - power) < step / 2
-            half = (high - low) / 2 if on_border else step
-            windows[c] = (power - half, power + half)
+            inside.add(c)
+            found[c] = at / POWER_STEPS
+            if grid.step == 1:
+                del windows[c]
+            else:
+                windows[c] = (max(grid[0], at - grid.step), min(grid[-1], at + grid.step))
     return found
 
 

@@ -221,6 +221,38 @@ def _scaled(columns: list[str], centre: str, width: str) -> str:
     return _clean(f", fitted AS (SELECT {fitted} FROM clean) SELECT id, {cells} FROM clean, fitted")
 
 
+def _power_transform(value: str, power: str) -> str:
+    return (
+        f"CASE WHEN {value} >= 0 THEN CASE WHEN {power} = 0 THEN ln(1 + {value}) ELSE (pow({value} + 1, {power}) - 1) / {power} END "
+        f"ELSE CASE WHEN {power} = 2 THEN -ln(1 - {value}) ELSE -(pow(1 - {value}, 2 - {power}) - 1) / (2 - {power}) END END"
+    )
+
+
+def _likeliest_powers(columns: list[str]) -> str:
+    """The best power in thousandths per column, from three grids that narrow: (-32, 32), then 32 cells around the best."""
+    vals = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {c}::DOUBLE AS value, count(*)::DOUBLE AS n FROM clean WHERE {c} IS NOT NULL GROUP BY 2"
+        for c in columns
+    )
+    out = f"""
+    , vals AS MATERIALIZED ({vals}),
+    sums AS MATERIALIZED (SELECT feature, sum(n) AS total, sum(n * value) / sum(n) AS mean,
+        sum(n * sign(value) * ln(1 + abs(value))) AS log_sum FROM vals GROUP BY 1),
+    best0 AS (SELECT feature, 0 AS step FROM sums)"""
+    for i, (low, high, width) in enumerate([(-32000, 32000, 250), (-256, 256, 16), (-16, 16, 1)]):
+        shifted = f"({_power_transform('value', 'power')}) - ({_power_transform('mean', 'power')})"
+        out += f""",
+    grid{i} AS (SELECT feature, step + g.range AS step, (step + g.range) / 1000.0::DOUBLE AS power
+        FROM best{i}, range({low}, {high + 1}, {width}) g),
+    tried{i} AS (SELECT feature, step, power, total, log_sum, n, {shifted} AS t
+        FROM grid{i} JOIN sums USING (feature) JOIN vals USING (feature)),
+    scored{i} AS (SELECT feature, step, any_value(power) AS power, any_value(total) AS total, any_value(log_sum) AS log_sum,
+        (sum(n * t * t) - sum(n * t) * sum(n * t) / any_value(total)) / any_value(total) AS var FROM tried{i} GROUP BY 1, 2),
+    best{i + 1} AS MATERIALIZED (SELECT feature, arg_max(step, -total / 2 * ln(var) + (power - 1) * log_sum) AS step
+        FROM scored{i} WHERE var > 0 AND isfinite(var) GROUP BY 1)"""
+    return out
+
+
 def _build() -> dict[str, str]:
     out: dict[str, str] = {}
     scaled = NUMERIC
@@ -297,6 +329,15 @@ def _build() -> dict[str, str]:
     )
 
     # imputation, scaling, encoding
+    chosen = ", ".join(f"max(step) FILTER (feature = '{c}') / 1000.0::DOUBLE AS {c}_p" for c in NUMERIC)
+    moved = ", ".join(f"{_power_transform(c + '::DOUBLE', c + '_p')} AS {c}" for c in NUMERIC)
+    fits = ", ".join(f"avg({c}) AS {c}_a, stddev_pop({c}) AS {c}_b" for c in NUMERIC)
+    cells = ", ".join(_r(f"({c} - {c}_a) / CASE WHEN {c}_b=0 THEN 1 ELSE {c}_b END", c) for c in NUMERIC)
+    out["scale_yeo_johnson"] = _clean(
+        f"""{_likeliest_powers(NUMERIC)}, chosen AS (SELECT {chosen} FROM best3),
+        moved AS MATERIALIZED (SELECT id, {moved} FROM clean, chosen), fits AS (SELECT {fits} FROM moved)
+        SELECT id, {cells} FROM moved, fits"""
+    )
     for name, fit in (("impute_mean", "avg({0})"), ("impute_median", "quantile_cont({0}, 0.5)")):
         fitted = ", ".join(f"{fit.format(c)} AS {c}_f" for c in gaps)
         cells = ", ".join(_r(f"coalesce({c}, {c}_f)", c) for c in gaps)

@@ -266,7 +266,7 @@ def scale_standard(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def scale_yeo_johnson(spark: SparkSession, d: str) -> DataFrame:
-    return scale.scale_yeo_johnson(staged(spark, d, NUMERIC, ["id"]), NUMERIC).drop("loan_status")
+    return rounded(scale.scale_yeo_johnson(staged(spark, d, NUMERIC, ["id"]), NUMERIC).drop("loan_status"))
 
 
 @query
@@ -759,6 +759,12 @@ def preprocess(spark: SparkSession, d: str) -> DataFrame:
     return rounded(prep.preprocess(df, "id", imputation="median", scaling="robust"))
 
 
+@query
+def preprocess_default(spark: SparkSession, d: str) -> DataFrame:
+    """Nearest neighbours, robust scaling and both encodings over the whole table."""
+    return rounded(prep.preprocess(staged(spark, d, NUMERIC + CATEGORICAL, ["id"]), "id"))
+
+
 @query
 def scan_zip_csv(spark: SparkSession, d: str) -> DataFrame:
     rows = loan_csv.scan_zip_csv(spark, _zip_files(spark, d))

@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 
 from riskloom.operators import knn
+from riskloom.operators.preprocess import preprocess
 
 
 def brute(x, keys, k):
@@ -93,3 +94,14 @@ def test_leaves_stay_small_and_nodes_nest(spark, monkeypatch):
     for node, row in nodes[nodes.parent != ""].iterrows():
         above = nodes.loc[row.parent]
         assert all(above[f"low_{c}"] <= row[f"low_{c}"] and row[f"high_{c}"] <= above[f"high_{c}"] for c in xs)
+
+
+def test_default_preprocessing_is_neighbours_then_robust_scaling(spark):
+    rng = np.random.default_rng(17)
+    x = np.round(rng.normal(size=(150, 4)) * [50, 20, 5, 1], 3)
+    x[rng.random(x.shape) < 0.2] = np.nan
+    df, keys, names = frame(spark, x)
+    got = preprocess(df, "id").toPandas().sort_values("id")[names].to_numpy(dtype=float)
+    filled = brute(x, keys, 5)
+    low, mid, high = np.percentile(filled, [25, 50, 75], axis=0)
+    assert np.allclose(got, (filled - mid) / (high - low), rtol=1e-9, atol=1e-9)
