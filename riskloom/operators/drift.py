@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from riskloom.operators import laid_out
 from riskloom.operators.ordered import prefix_sums, value_counts_by_side
 from riskloom.operators.stats import TOP_CATEGORIES, category_frequencies, numeric_stats
 from riskloom.schema import numeric_columns, string_columns
@@ -71,6 +72,10 @@ def _distances(freq: DataFrame) -> DataFrame:
         F.sum(F.coalesce(gap * (F.col("next.value") - F.col("value")), gap * 0)).alias("wasserstein"),
         (F.max(in_ref) - F.min(in_ref)).alias("ref_range"),
     )
+    return _normalised(out)
+
+
+def _normalised(out: DataFrame) -> DataFrame:
     norm = F.when(F.col("ref_range") > 0, F.col("wasserstein") / F.col("ref_range")).otherwise(F.lit(0.0))
     return out.select("feature", "ks", "wasserstein", norm.alias("wasserstein_norm"))
 
@@ -163,15 +168,15 @@ def feature_drift(
 
 @dataclass(frozen=True)
 class GroupedReference:
-    """All that ``grouped_feature_drift`` needs of a reference: ``values`` is (feature, value, ref), a row per distinct
-    number, and ``leading`` (feature, value, freq), the most frequent strings of each column."""
+    """All that ``grouped_feature_drift`` needs of a reference: ``numbers``, the distinct numbers with their counts laid
+    out in parts, and ``leading`` (feature, value, freq), the most frequent strings of each column."""
 
     schema: StructType
-    values: DataFrame
+    numbers: laid_out.Distribution
     leading: DataFrame
 
 
-def group_reference(reference: DataFrame) -> GroupedReference:
+def group_reference(reference: DataFrame, part_values: int = laid_out.PART_VALUES) -> GroupedReference:
     """The reference grouped once and written, for comparing many tables with it."""
     numeric = numeric_columns(reference)
     others = [c for c in reference.columns if c not in set(numeric)]
@@ -181,7 +186,8 @@ def group_reference(reference: DataFrame) -> GroupedReference:
     leading = category_frequencies(reference, others).select("feature", "value", "freq") if others else _no_rows(
         reference, "feature string, value string, freq double"
     )
-    return GroupedReference(reference.schema, written(values, "reference-values"), written(leading, "reference-leading"))
+    numbers = laid_out.lay_out(values, part_values)
+    return GroupedReference(reference.schema, numbers, written(leading, "reference-leading"))
 
 
 def _no_rows(df: DataFrame, schema: StructType | str) -> DataFrame:
@@ -191,13 +197,11 @@ def _no_rows(df: DataFrame, schema: StructType | str) -> DataFrame:
 def grouped_feature_drift(
     reference: GroupedReference, current: DataFrame, threshold: float = DRIFT_THRESHOLD
 ) -> DataFrame:
-    """``feature_drift`` against a grouped reference, whose rows are not read again."""
+    """``feature_drift`` against a grouped reference, whose rows are not read again: of its numbers only the parts that
+    ``current`` falls in or whose curve it crosses."""
 
     def numeric(_: DataFrame, rows: DataFrame, names: Sequence[str]) -> DataFrame:
-        old = reference.values.where(F.col("feature").isin(list(names))).withColumn("cur", F.lit(0).cast("bigint"))
-        new = value_counts_by_side(rows, names, {"cur": F.lit(1)}).withColumn("ref", F.lit(0).cast("bigint"))
-        both = old.unionByName(new).groupBy("feature", "value")
-        return _numeric_scores(_distances(both.agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))))
+        return _numeric_scores(_normalised(laid_out.distances(reference.numbers, rows, names)))
 
     def categorical(_: DataFrame, rows: DataFrame, names: Sequence[str]) -> DataFrame:
         old = reference.leading.where(F.col("feature").isin(list(names))).withColumn("side", F.lit("ref"))
@@ -325,19 +329,25 @@ def category_compare(
     """Each value's share on both sides, for every value, or for the union of both sides' most frequent ``top``
     when a column has more than ``top`` of them."""
     names = list(columns) if columns is not None else shared_features(reference, current)["categorical"]
-    # one grouping of both sides; the frequencies are over all values, so a listed value shows its true share
+    # both sides are grouped once; the frequencies are over all values, so a listed value shows its true share
     freq = category_frequencies(_both(reference, current, names), names, ["side"], top=None)
     sided = freq.groupBy("feature", "value").agg(
-        *[
-            F.coalesce(F.max(F.when(F.col("side") == s, F.col("freq"))), F.lit(0.0)).alias(f"{s}_freq")
-            for s in ("ref", "cur")
-        ],
-    )
+        *[F.coalesce(F.max(F.when(F.col("side") == s, F.col(c))), F.lit(0)).alias(f"{s}_{c}")
+          for s in ("ref", "cur") for c in ("freq", "n")],
+    )
+    sided = written(sided, "categories")
     distinct = sided.groupBy("feature").agg(F.count(F.lit(1)).alias("n_values"))
-    leading = category_frequencies(_both(reference, current, names), names, ["side"], top)
-    leading = leading.select("feature", "value", F.lit(True).alias("leading")).distinct()
-    marked = sided.join(F.broadcast(distinct), "feature").join(leading, ["feature", "value"], "left")
-    shown = marked.where((F.col("n_values") <= top) | F.col("leading"))
+    short = sided.join(F.broadcast(distinct.where(F.col("n_values") <= top)), "feature", "left_semi")
+    long = sided.join(F.broadcast(distinct.where(F.col("n_values") > top)), "feature", "left_semi")
+    # at most `top` values of a feature and side, found by a limit for each group
+    leading = [
+        long.where(F.col(f"{s}_n") > 0)
+        .withColumn("place", F.row_number().over(Window.partitionBy("feature").orderBy(F.col(f"{s}_n").desc(), "value")))
+        .where(F.col("place") <= top)
+        .drop("place")
+        for s in ("ref", "cur")
+    ]
+    shown = short.unionByName(leading[0].unionByName(leading[1]).distinct())
     return shown.select("feature", "value", "ref_freq", "cur_freq")
 
 

@@ -565,7 +565,9 @@ def categorical_drift(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def type_mismatch_drift(spark: SparkSession, d: str) -> DataFrame:
-    return drift.feature_drift(*_shifted_sides(spark, d)).where(F.col("kind") == "type")
+    scores = drift.type_mismatch_drift(*_shifted_sides(spark, d))
+    drifted = F.col("drift_score") > drift.DRIFT_THRESHOLD
+    return scores.select("feature", F.lit("type").alias("kind"), "drift_score", drifted.alias("drifted"))
 
 
 @query
