@@ -2,7 +2,8 @@
 
 Path-dependent Shapley values (Lundberg et al., "Consistent individualized feature attribution for tree
 ensembles"), evaluated leaf by leaf: for one leaf a row matters only through which of the features on its path it
-satisfies, so a leaf's share is a polynomial over at most ``depth`` features. Rows stream through in Arrow batches;
+satisfies, so a leaf's share is a polynomial over at most ``depth`` features. It is built once a leaf, and one feature's
+factor is divided out of it again, so the work of a leaf is the square of its depth. Rows stream through in Arrow batches;
 the trees, whose size does not depend on the data, travel with the task.
 """
 
@@ -56,16 +57,21 @@ def _leaf_shares(leaf: Leaf, x: np.ndarray, out: np.ndarray) -> None:
     shares = [share for *_, share in path]
     out[:, -1] += value * np.prod(shares)
     weights = [factorial(k) * factorial(m - 1 - k) / factorial(m) for k in range(m)]
+    # coefficient k of the product over the path: k of its features known, the rest averaged out
+    whole = np.zeros((m + 1, len(x)))
+    whole[0] = 1.0
+    for j in range(m):
+        whole[1 : j + 2] = whole[1 : j + 2] * shares[j] + whole[: j + 1] * met[j]
+        whole[0] *= shares[j]
     for i, (f, *_rest) in enumerate(path):
-        # coefficient k of the product over the other features: k of them known, the rest averaged out
-        poly = [np.ones(len(x))]
-        for j in range(m):
-            if j != i:
-                grown = [c * shares[j] for c in poly] + [np.zeros(len(x))]
-                for k, c in enumerate(poly):
-                    grown[k + 1] = grown[k + 1] + c * met[j]
-                poly = grown
-        out[:, f] += value * (met[i] - shares[i]) * sum(w * c for w, c in zip(weights, poly))
+        # the product without feature i: its factor is share + z where the row satisfies it, else share alone
+        known = met[i] > 0
+        rest = whole[m]
+        total = np.zeros(len(x))
+        for k in range(m - 1, -1, -1):
+            total += weights[k] * np.where(known, rest, whole[k] / shares[i])
+            rest = whole[k] - shares[i] * rest
+        out[:, f] += value * (met[i] - shares[i]) * total
 
 
 def contributions(x: np.ndarray, leaves: list[Leaf]) -> np.ndarray:

@@ -558,6 +558,33 @@ def _build() -> dict[str, str]:
 
     # importance
     ranked = _importance("clean", "imp")
+    exchanged = ["int_rate", "dti", "annual_inc", "total_acc"]
+    partners = " ".join(
+        f"""JOIN placed o{j} ON o{j}.b=p.b
+        AND o{j}.i=(p.i + CASE WHEN p.n=1 THEN 0 ELSE 1 + {j} % (p.n-1) END) % p.n"""
+        for j in range(len(exchanged))
+    )
+    cells = ", ".join(f"p.{c}, o{j}.{c} AS other_{c}" for j, c in enumerate(exchanged))
+
+    def mean_loss(version: str, moved: str | None) -> str:
+        v = {c: f"{'other_' if c == moved else ''}{c}::DOUBLE" for c in exchanged}
+        margin = f"""1 + coalesce({v['annual_inc']},60000)/100000 - (coalesce({v['int_rate']},12)-12)*0.15::DOUBLE
+          - (coalesce({v['dti']},15)-15)*0.03::DOUBLE"""
+        p = f"greatest(1e-15::DOUBLE, least(1-1e-15::DOUBLE, 1/(1+exp({margin}))))"
+        return f"SELECT '{version}' AS feature, avg(-CASE WHEN y=1 THEN ln({p}) ELSE ln(1-{p}) END) AS loss FROM swapped"
+
+    out["permutation_importance"] = _clean(
+        f""", hashed AS (SELECT *, loan_status AS y, md5(concat('{SEED}','|',id)) AS h FROM clean),
+        dealt AS (SELECT *, ('0x'||substr(h,1,7))::BIGINT % (SELECT greatest(1, ceil(count(*)/1000::DOUBLE))::BIGINT FROM clean) AS b
+          FROM hashed),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY b ORDER BY h) - 1 AS i, count(*) OVER (PARTITION BY b) AS n FROM dealt),
+        swapped AS (SELECT p.y, {cells} FROM placed p {partners}),
+        losses AS ({" UNION ALL ".join([mean_loss("", None), *[mean_loss(c, c) for c in exchanged]])}),
+        rises AS (SELECT feature, greatest(loss - (SELECT loss FROM losses WHERE feature=''), 0) AS importance
+          FROM losses WHERE feature<>'')
+        SELECT feature, {_r('importance', 'importance')},
+        {_r('importance/nullif(sum(importance) OVER (),0)*100', 'relative_importance')} FROM rises"""
+    )
     out["feature_importance"] = _clean(
         f""", {ranked} SELECT feature, {_r('importance', 'importance')},
         {_r('relative_importance', 'relative_importance')} FROM imp"""

@@ -711,6 +711,50 @@ def model_importance(spark: SparkSession, d: str) -> DataFrame:
     return train.model_importance(_model(learning_sets(spark, d)), LEARNED)
 
 
+EXCHANGED = ["int_rate", "dti", "annual_inc", "total_acc"]
+
+
+def _fixed_score(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """A logistic score with given weights, which leaves ``total_acc`` out."""
+    rate = (F.coalesce("int_rate", F.lit(12.0)) - 12.0) * 0.15
+    debt = (F.coalesce("dti", F.lit(15.0)) - 15.0) * 0.03
+    income = F.coalesce("annual_inc", F.lit(60000.0)) / 100000.0
+    return rows.select(*keep, (1.0 / (1.0 + F.exp(1.0 + income - rate - debt))).alias("p"))
+
+
+@query
+def permutation_importance(spark: SparkSession, d: str) -> DataFrame:
+    df = cleaned(spark, d, EXCHANGED, ["id"])
+    return rounded(importance.permutation_importance(df, EXCHANGED, "loan_status", KEY, _fixed_score, SEED))
+
+
+@query
+def model_importance_drift(spark: SparkSession, d: str) -> DataFrame:
+    """Trees fitted on the reference loans; their permutation importance on reference loans held out from the fit and on
+    the current ones, whose score says less about the label."""
+    df = cleaned(spark, d, [*NUMERIC, "score_milli"], ["id", "side"])
+    signal = F.when(F.col("side") == "ref", 3000).otherwise(1500)
+    df = df.withColumn("p", (F.col("score_milli") * 7 + F.col("loan_status") * signal) / F.lit(10000.0))
+    df = written(df.drop("score_milli"), "sides")
+    means = impute.fit_mean(df.where(F.col("side") == "ref"), NUMERIC)
+    ref, cur = (impute.fill(df.where(F.col("side") == s), means, NUMERIC) for s in ("ref", "cur"))
+    ref = written(split.split_rows(ref, KEY, SEED), "split")
+    sets = {s: ref.where(F.col("split") == s) for s in ("train", "val", "test")}
+    model = _model(sets)
+
+    def score(rows: DataFrame, keep: list[str]) -> DataFrame:
+        return train.score_table(model, rows, LEARNED, keep)
+
+    found = [importance.permutation_importance(side, LEARNED, "loan_status", KEY, score, SEED) for side in (sets["test"], cur)]
+    return drift.importance_drift(*found)
+
+
+@query
+def model_shap_summary(spark: SparkSession, d: str) -> DataFrame:
+    """The summary of the trees' own contributions, over the sampled rows of ``shap_table``."""
+    return importance.shap_summary(shap_table(spark, d))
+
+
 @query
 def calibrate_isotonic(spark: SparkSession, d: str) -> DataFrame:
     df = scored_loans(spark, d)

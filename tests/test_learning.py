@@ -149,3 +149,44 @@ def test_first_trees_are_those_of_a_shorter_fit(sets, model):
     rows = [[r.p for r in train.score_table(m, sets[1], FEATURES, ["id"]).orderBy("id").collect()] for m in (cut, short)]
     assert rows[0] == rows[1]
     assert cut.featureImportances == short.featureImportances
+
+
+def test_exchanging_a_useless_column_changes_nothing(spark, sets, model):
+    """Against the same exchange in plain loops; ``d`` is planted and unknown to the score."""
+    import hashlib
+
+    names = ["a", "b", "d"]
+    rows = sets[1].select("id", "a", "b", F.col("c").alias("d"), "y").limit(40).collect()
+    df = spark.createDataFrame(rows)
+
+    def scored(table, keep):
+        return table.select(*keep, (1 / (1 + F.exp(-2 * F.col("a") - F.col("b")))).alias("p"))
+
+    buckets = {}
+    for r in rows:
+        h = hashlib.md5(f"42|{r.id}".encode()).hexdigest()
+        buckets.setdefault(int(h[:7], 16) % 4, []).append((h, r))
+    losses = {None: [], "a": [], "b": [], "d": []}
+    for members in buckets.values():
+        members = [r for _, r in sorted(members)]
+        n = len(members)
+        for i, r in enumerate(members):
+            for c, found in losses.items():
+                v = r.asDict()
+                if c is not None and n > 1:
+                    v[c] = members[(i + 1 + names.index(c) % (n - 1)) % n][c]
+                p = 1 / (1 + np.exp(-2 * v["a"] - v["b"]))
+                found.append(-np.log(p if r.y else 1 - p))
+    want = {c: max(0.0, np.mean(losses[c]) - np.mean(losses[None])) for c in names}
+    got = {r.feature: r.importance for r in importance.permutation_importance(df, names, "y", ["id"], scored, 42, 10).collect()}
+    assert got == pytest.approx(want) and got["d"] == 0 and got["a"] > got["b"]
+    empty = importance.permutation_importance(df.limit(0), names, "y", ["id"], scored).collect()
+    assert [(r.feature, r.importance) for r in empty] == [(c, 0.0) for c in names]
+    one = importance.permutation_importance(df.limit(1), names, "y", ["id"], scored).collect()
+    assert [r.importance for r in one] == [0.0, 0.0, 0.0]
+
+    def trees(table, keep):
+        return train.score_table(model, table, FEATURES, keep)
+
+    found = importance.permutation_importance(sets[1], FEATURES, "y", ["id"], trees).collect()
+    assert found[0].feature == "a"
