@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import re
+import shutil
 import uuid
 import zipfile
 from collections.abc import Iterator
@@ -16,6 +17,9 @@ from pyspark.sql import functions as F
 from riskloom.schema import LOAN_COLUMNS, string_schema
 
 ZIP_BATCH = 10_000
+#: Rows of a written loan file, some 60 MB of text: files are compressed, so one is the unit of parallelism.
+FILE_ROWS = 200_000
+PIECE = 1 << 20
 _KEEP_BLANKS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
@@ -85,13 +89,19 @@ def scan_zip_csv(
 
     # the path alone: the reader does not open the files
     archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path")
-    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return archives.repartition(tasks, "path").mapInPandas(unzip, schema)
+    return archives.repartition(_tasks(spark), "path").mapInPandas(unzip, schema)
+
+
+def pack_stream(source: BinaryIO, out: BinaryIO, member: str) -> None:
+    """``source`` as the one member of a zip archive written to ``out``, piece by piece."""
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive, archive.open(member, "w", force_zip64=True) as packed:
+        shutil.copyfileobj(source, packed, PIECE)
 
 
 def pack_files(spark: SparkSession, path: str, target: str) -> DataFrame:
-    """Zip every ``*.txt`` file below ``path`` into an archive of its own in the shared folder ``target``; running the
-    returned table of archive names does the work, a file per task."""
+    """Zip every ``*.txt`` file below ``path``, plain or ``*.txt.gz``, into an archive of its own in the shared folder
+    ``target``; running the returned table of archive names does the work. Files are streams, so memory does not depend on
+    their size."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
@@ -100,21 +110,24 @@ def pack_files(spark: SparkSession, path: str, target: str) -> DataFrame:
         store.create_dir(folder)
         for batch in batches:
             names = []
-            for name, content in zip(batch["path"], batch["content"]):
-                stem = name.rsplit("/", 1)[-1].rsplit(".", 1)[0]
-                packed = io.BytesIO()
-                with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-                    archive.writestr(f"{stem}.csv", content)
+            for name in batch["path"]:
+                files, place = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", name))
+                stem = re.sub(r"\.txt(\.gz)?$", "", name.rsplit("/", 1)[-1])
                 names.append(f"{target}/{stem}.zip")
                 # written under a name of its own first, so a task that runs twice leaves one whole archive
                 draft = f"{folder}/{stem}.{uuid.uuid4().hex}"
-                with store.open_output_stream(draft) as out:
-                    out.write(packed.getvalue())
+                with files.open_input_stream(place, compression="detect") as source, store.open_output_stream(draft) as out:
+                    pack_stream(source, out, f"{stem}.csv")
                 store.move(draft, f"{folder}/{stem}.zip")
             yield pd.DataFrame({"archive": names})
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
-    return files.select("path", "content").mapInPandas(pack, "archive string")
+    # the path alone: the reader does not open the files
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt{,.gz}").load(path).select("path")
+    return files.repartition(_tasks(spark), "path").mapInPandas(pack, "archive string")
+
+
+def _tasks(spark: SparkSession) -> int:
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def drop_note_rows(df: DataFrame, mode: str = "data", amount: str = "loan_amnt") -> DataFrame:
@@ -130,10 +143,13 @@ def drop_note_rows(df: DataFrame, mode: str = "data", amount: str = "loan_amnt")
     raise ValueError(f"unknown mode {mode!r}")
 
 
-def write_loan_files(loans: DataFrame, path: str, notes: DataFrame | None = None) -> None:
-    """Write a loan table in the raw layout: per file a banner line, the header, then the rows.
+def write_loan_files(
+    loans: DataFrame, path: str, notes: DataFrame | None = None, file_rows: int = FILE_ROWS
+) -> None:
+    """Write a loan table in the raw layout: per file a banner line, the header, then at most ``file_rows`` rows.
 
-    ``notes`` is a one-column table of note lines; they go to files of their own.
+    Files are compressed (``*.txt.gz``), as most cells are empty. ``notes`` is a one-column table of note lines; they go to
+    files of their own.
     """
     have = set(loans.columns)
     cells = [(F.col(c).cast("string") if c in have else F.lit(None).cast("string")).alias(c) for c in LOAN_COLUMNS]
@@ -143,6 +159,8 @@ def write_loan_files(loans: DataFrame, path: str, notes: DataFrame | None = None
         empty = "," * (len(LOAN_COLUMNS) - 1)
         rows = rows.unionByName(notes.toDF("line").select(F.concat(F.to_csv(F.struct("line")), F.lit(empty)).alias("line")))
     start = "Loan records of the period, all amounts in USD\n" + ",".join(LOAN_COLUMNS) + "\n"
-    # the first row of a partition is the first row of its file
-    first = F.expr("monotonically_increasing_id() & 8589934591") == 0
-    rows.select(F.when(first, F.concat(F.lit(start), "line")).otherwise(F.col("line"))).write.text(path)
+    # a task starts a file with its first row and again after every ``file_rows`` rows
+    first = F.expr(f"(monotonically_increasing_id() & 8589934591) % {file_rows}") == 0
+    lines = rows.select(F.when(first, F.concat(F.lit(start), "line")).otherwise(F.col("line")))
+    out = lines.write.option("maxRecordsPerFile", file_rows).option("compression", "gzip")
+    out.option("zlib.compress.level", "BEST_SPEED").text(path)

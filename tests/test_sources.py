@@ -1,6 +1,8 @@
 """Versions by several writers, archives as streams, strata by the hundred thousand."""
 
+import gzip
 import io
+import re
 import threading
 import zipfile
 
@@ -90,3 +92,29 @@ def test_many_strata(spark):
     assert (seen.drawn, seen.bad) == (60_000, 0) and seen.strata == sizes.count()
     labelled = split.split_rows(df, ["id"], seed=7, stratum="s").groupBy("split").count().collect()
     assert {r.split: r["count"] for r in labelled} == split.expected_sizes(n, 0.2, 0.25)
+
+
+def test_loan_files_are_bounded_and_packed_as_streams(spark, tmp_path):
+    """Every file of a task has its banner and few rows, takes less room than its text, and no row holds a whole file."""
+    df = spark.range(0, 1000, 1, 2).select(F.concat(F.lit(" r"), "id").alias("id"), (F.col("id") * 3).alias("loan_amnt"))
+    raw, packed = f"file:{tmp_path}/raw", f"file:{tmp_path}/zip"
+    loan_csv.write_loan_files(df, raw, spark.createDataFrame([("Total",)], "note string"), file_rows=150)
+    files = sorted((tmp_path / "raw").glob("*.txt.gz"))
+    texts = [gzip.decompress(f.read_bytes()).decode() for f in files]
+    assert len(files) == 9 and all(t.startswith("Loan records") and t.count("\n") <= 152 for t in texts)
+    assert sum(f.stat().st_size for f in files) < sum(map(len, texts)) / 3
+    want = sorted((r.id, str(r.loan_amnt)) for r in df.collect())
+    work = loan_csv.pack_files(spark, raw, packed)
+    assert re.search(r"FileScan binaryFile \[path#\d+\]", work._jdf.queryExecution().executedPlan().toString())
+    assert work.count() == 9
+    for rows in (loan_csv.scan_loan_csv(spark, raw), loan_csv.scan_zip_csv(spark, packed)):
+        assert rows.count() == 1001
+        assert sorted(tuple(r) for r in loan_csv.drop_note_rows(rows).select("id", "loan_amnt").collect()) == want
+
+
+def test_archives_are_written_as_streams():
+    text = b"banner\nx,y\n" + b"".join(b"%d,%d\n" % (i, i % 7) for i in range(400_000))
+    source, out = Watched(text), io.BytesIO()
+    loan_csv.pack_stream(source, out, "loans.csv")
+    assert source.seen == len(text) > 3 << 20
+    assert zipfile.ZipFile(out).read("loans.csv") == text
