@@ -105,6 +105,26 @@ def test_learning_curve_ends_at_the_model(sets, model):
     assert curve[-1].auc == pytest.approx(metrics.roc_auc(scored, "y", "p").first().roc_auc)
 
 
+def test_learning_curve_is_exact_in_cells(sets, model, spark, monkeypatch):
+    """Every round against the metric over all rows, with few cells or many; rows are not multiplied by the rounds."""
+    from pyspark.ml.functions import vector_to_array
+
+    raw = train.assembled(sets[1], FEATURES, ["y"])
+    want, names = [], []
+    for i in range(len(model.treeWeights)):
+        short = train.first_trees(model, i + 1)
+        scored = short.transform(raw).select("y", vector_to_array("rawPrediction")[1].alias("m"))
+        want.append(metrics.roc_auc(scored, "y", "m").first().roc_auc)
+    both = {"val": sets[1], "none": sets[1].where("y = 0"), "unlabelled": sets[1].withColumn("y", F.lit(None).cast("int"))}
+    for bits in (0, 5, 30):
+        monkeypatch.setattr(train, "CELL_BITS", bits)
+        curve = train.learning_curve(model, both, FEATURES, "y").orderBy("data", "round").collect()
+        assert [(r.data, r["round"]) for r in curve] == [(n, i + 1) for n in ("none", "val") for i in range(len(want))]
+        assert [r.auc for r in curve] == pytest.approx([None] * len(want) + want, abs=1e-12)
+    plan = train.learning_curve(model, both, FEATURES, "y")._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+
+
 def test_isotonic_is_the_pooled_fit(spark):
     df = spark.createDataFrame(
         [(0.1, 0), (0.2, 1), (0.2, 0), (0.3, 0), (0.6, 1), (0.7, 0), (0.8, 1), (0.9, 1)], "p double, y int"
