@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators import encode, impute, knn, scale
+from riskloom.operators.ordered import finite, quantile_dict
 from riskloom.schema import ORDINAL_COLUMNS, TARGET, numeric_columns, string_columns
 from riskloom.session import written
 from riskloom.sources import tables
@@ -49,6 +50,8 @@ class Preprocessor:
 
         if self.imputation == "knn":
             self.donors = written(df.select(self.key, *map(F.col, map(encode.quoted, self.given))), "donors")
+        elif self.imputation == "median" and self.scaling == "robust" and self.given:
+            return self._fit_strings(df, self._fit_quantiles(df))
         elif self.imputation == "median":
             self.fitted["fill"] = impute.fit_median(df, self.given)
         else:
@@ -63,6 +66,25 @@ class Preprocessor:
         else:
             fits = {"robust": scale.fit_robust, "minmax": scale.fit_minmax}
             self.fitted["scale"] = fits.get(self.scaling, scale.fit_standard)(filled, self.numeric)
+        return self._fit_strings(df, self.fitted["scale"])
+
+    def _fit_quantiles(self, df: DataFrame) -> scale.Scales:
+        """Medians to fill with, and the scales of the filled columns: a column without gaps has the quantiles that it
+        had before, so only the others are filled and ordered again."""
+        found = quantile_dict(df, self.given, [0.25, 0.5, 0.75])
+        self.fitted["fill"] = {c: q[0.5] for c, q in found.items() if q}
+        self.numeric = [c for c in self.given if c in self.fitted["fill"]]
+        gaps = [F.count_if(finite(encode.quoted(c)).isNull()).alias(f"n{i}") for i, c in enumerate(self.numeric)]
+        counts = df.agg(F.count(F.lit(1)), *gaps).first()
+        holed = [c for c, n in zip(self.numeric, counts[1:]) if n]
+        scales = {c: scale.robust(found[c]) for c in self.numeric if c not in holed}
+        if holed:
+            filled = written(impute.fill(df.select(*map(encode.quoted, holed)), self.fitted["fill"], holed), "filled")
+            scales |= scale.fit_robust(filled, holed)
+        return scales
+
+    def _fit_strings(self, df: DataFrame, scales: scale.Scales) -> "Preprocessor":
+        self.fitted["scale"] = scales
         encoded = [*self.ordinal, *self.nominal]
         modes = impute.fill(df.select(*encoded), self.fitted["mode"], encoded) if encoded else df
         self.fitted["onehot"] = encode.fit_onehot(modes, self.nominal)

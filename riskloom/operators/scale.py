@@ -37,7 +37,11 @@ def fit_minmax(df: DataFrame, columns: Sequence[str]) -> Scales:
 def fit_robust(df: DataFrame, columns: Sequence[str]) -> Scales:
     """Exact median and interquartile range."""
     found = quantile_dict(df, columns, [0.25, 0.5, 0.75])
-    return {c: (q[0.5], _unit(q[0.75] - q[0.25])) for c, q in found.items() if q}
+    return {c: robust(q) for c, q in found.items() if q}
+
+
+def robust(quantiles: dict[float, float]) -> tuple[float, float]:
+    return quantiles[0.5], _unit(quantiles[0.75] - quantiles[0.25])
 
 
 def apply_scales(df: DataFrame, scales: Scales) -> DataFrame:

@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from riskloom.operators import curves, drift, metrics, ordered, split
+from riskloom.operators import curves, drift, impute, metrics, ordered, preprocess, scale, split
 
 
 @pytest.fixture(scope="module")
@@ -111,3 +112,44 @@ def test_no_window_sees_all_rows(spark, four):
     for line in plan.splitlines():
         if "Window [" in line and "score" in line.split("windowspecdefinition")[-1]:
             assert "bucket" in line
+
+
+def test_buckets_are_the_cuts_below(spark):
+    """Found by whole steps first, for any number of partitions; values at and beyond the cuts included."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in (8, 9, 50, 200):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            df = spark.range(700).select((F.col("id") % 3).alias("g"), (F.col("id") * F.col("id") % 641).cast("double").alias("v"))
+            placed = ordered._bucketed(df, ["g"], "v")
+            assert sorted(placed.columns) == ["bucket", "g", "v"]
+            sketch = F.percentile_approx("v", [i / partitions for i in range(1, partitions)], 10 * partitions)
+            cuts = {r.g: r.cuts for r in df.groupBy("g").agg(sketch.alias("cuts")).collect()}
+            assert all(r.bucket == sum(c < r.v for c in cuts[r.g]) for r in placed.collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_quantiles_order_only_the_buckets_that_hold_them(spark, monkeypatch):
+    df = spark.range(2000).select(
+        F.col("id").cast("double").alias("a"), F.when(F.col("id") % 5 != 0, F.col("id") % 7).alias("b")
+    )
+    seen, real = [], ordered.bucketed_long
+    monkeypatch.setattr(ordered, "bucketed_long", lambda *a, **k: seen.append(real(*a, **k)) or seen[-1])
+    got = ordered.quantile_dict(df, ["a", "b"], [0.25, 0.5, 0.75])
+    assert got == {"a": {0.25: 499.75, 0.5: 999.5, 0.75: 1499.25}, "b": {0.25: 1.0, 0.5: 3.0, 0.75: 5.0}}
+    assert len(seen) == 2 and seen[1].where("feature = 'a'").count() < 0.8 * seen[0].where("feature = 'a'").count()
+
+
+def test_columns_without_gaps_are_scaled_by_their_first_quantiles(spark, monkeypatch):
+    df = spark.range(300).select(
+        "id", (F.col("id") % 11).alias("whole"), F.when(F.col("id") % 4 != 0, F.col("id") * 1.0).otherwise(float("nan")).alias("gaps"),
+        F.concat(F.lit("g"), F.col("id") % 3).alias("grade"),
+    )
+    medians = impute.fit_median(df, ["whole", "gaps"])
+    want = scale.fit_robust(impute.fill(df, medians, ["whole", "gaps"]), ["whole", "gaps"])
+    ordered_again, real = [], scale.fit_robust
+    monkeypatch.setattr(scale, "fit_robust", lambda rows, names: ordered_again.append(list(names)) or real(rows, names))
+    fitted = preprocess.Preprocessor("id", "median", "robust").fit(df)
+    assert ordered_again == [["gaps"]]
+    assert fitted.fitted["fill"] == medians and fitted.fitted["scale"] == want and fitted.numeric == ["whole", "gaps"]
