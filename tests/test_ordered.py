@@ -153,3 +153,21 @@ def test_columns_without_gaps_are_scaled_by_their_first_quantiles(spark, monkeyp
     fitted = preprocess.Preprocessor("id", "median", "robust").fit(df)
     assert ordered_again == [["gaps"]]
     assert fitted.fitted["fill"] == medians and fitted.fitted["scale"] == want and fitted.numeric == ["whole", "gaps"]
+
+
+def test_shifted_scores_are_worked_out_once(spark, monkeypatch):
+    """The rows behind the monitored metrics are computed once, not for every name in the shift and the metrics."""
+    from riskloom.plans import queries
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def score(i):
+        seen.add(1)
+        return i % 10 / 10
+
+    df = spark.range(0, 100, 1, 2).select((F.col("id") % 2).cast("int").alias("loan_status"), "id")
+    df = df.select("loan_status", F.when(F.col("id") < 50, "ref").otherwise("cur").alias("side"), score("id").alias("p"))
+    monkeypatch.setattr(queries, "scored_loans", lambda *a: df)
+    ref, cur = queries._metrics_of_sides(spark, "")
+    assert ref.count() == cur.count() == 5 and seen.value == 100
