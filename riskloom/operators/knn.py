@@ -6,36 +6,45 @@ put into a hierarchy of nodes. The roots are the patterns of values that are the
 quartiles of the columns that spread most in it, all nodes of a level at once, until every leaf is small. The depth grows
 with the logarithm of the table, leaves stay as they are, and the nodes are a table like any other.
 
-Per node, the smallest and largest value of each column bound the distance from a row to any row below the node. A first
-descent takes the most promising child of each level; the leaf it ends in gives k distances and so an upper bound for the
-k-th. The second descent joins, level by level, the nodes that can hold something closer than that and searches their
-leaves. Nothing is sampled or capped: whatever the first search finds, the second makes the answer the exact one.
-
-Leaves that many rows ask for are searched by several tasks, so no group grows with the data. Only the k best per
-(row, column, leaf) leave a task.
+Per leaf, the smallest and largest value of each column bound the distance from a row to any row in it. A first round
+searches one promising leaf for each request; its k-th distance is an upper bound for the k-th of all. The second searches
+every leaf that can hold something closer than that. Nothing is sampled or capped: whatever the first round finds, the
+second makes the answer the exact one. The leaves' bounds are sent to the tasks, or, where they are too many, met by joins
+level by level.
+
+In a task, the donors of a leaf and the requests to it are put into tiles of near rows. Tiles are compared by matrix products
+from the nearest on, until the bounds of the rest are farther than the k-th found; only the pairs that a product leaves
+are measured exactly. Leaves that many rows ask for are searched by several tasks, so no group grows with the data.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from riskloom.operators.impute import fit_mean
 from riskloom.operators.ordered import finite
-from riskloom.session import checked_broadcast, written
+from riskloom.session import BROADCAST_ROWS, checked_broadcast, written
 
 NEIGHBOURS = 5
-LEAF_ROWS = 1_200
+LEAF_ROWS = 40_000
 SPLIT_COLUMNS = 3
 SPLIT_PARTS = 4
-ASKING_ROWS = 20_000
+ASKING_ROWS = 60_000
 WORK_CELLS = 200_000
+#: Rows of a leaf, and of the requests to it, that are compared as one.
+TILE_DONORS, TILE_ASKING = 64, 32
 #: The rows' share of error in a bound, from adding squares in another order.
 SLACK = 1e-9
+#: The squares' share of error in a distance from a product.
+ROUNDING = 1e-12
 
 
 def _vector(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
@@ -53,17 +62,19 @@ def _boxes(rows: DataFrame, xs: Sequence[str]) -> DataFrame:
     return rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *measured)
 
 
-def _cut(rows: DataFrame, inner: DataFrame, xs: Sequence[str]) -> DataFrame:
+def _cut(rows: DataFrame, inner: DataFrame, xs: Sequence[str], most: int) -> DataFrame:
     """The rows below ``inner`` nodes, each moved to the child it falls in.
 
-    A cut lies above the smallest value, so every cut leaves rows on both sides, however hot a value is.
+    A node is cut in no more columns than bring its children to ``most`` rows, so that leaves are well filled. A cut lies above the smallest value, so every cut leaves rows on both sides, however hot a value is.
     """
     spans = [
         F.struct(F.col(f"spread_{x}").alias("spread"), F.lit(i).alias("i"), F.col(f"low_{x}").alias("low"), F.col(f"high_{x}").alias("high"))
         for i, x in enumerate(xs)
     ]
     widest = F.reverse(F.array_sort(F.filter(F.array(*spans), lambda s: s["high"] > s["low"])))
-    chosen = checked_broadcast(inner.select("node", F.slice(widest, 1, SPLIT_COLUMNS).alias("chosen")))
+    needed = F.ceil(F.log(F.col("n") / F.lit(float(most))) / F.log(F.lit(float(SPLIT_PARTS)))).cast("int")
+    needed = F.greatest(F.lit(1), F.least(F.lit(SPLIT_COLUMNS), needed))
+    chosen = checked_broadcast(inner.select("node", F.slice(widest, F.lit(1), needed).alias("chosen")))
     values = F.array(*xs)
     sides = range(SPLIT_COLUMNS)
     placed = rows.join(chosen, "node").withColumns({f"v{i}": F.get(values, F.get("chosen", F.lit(i))["i"]) for i in sides})
@@ -111,7 +122,7 @@ def _tree(donors: DataFrame, xs: Sequence[str], k: int) -> tuple[DataFrame, list
         inner = nodes.where("not leaf")
         if not inner.take(1):
             break
-        rows = _cut(rows, inner, xs)
+        rows = _cut(rows, inner, xs, most)
     placed = leaves[0]
     for more in leaves[1:]:
         placed = placed.unionByName(more)
@@ -140,7 +151,8 @@ def _children(at: DataFrame | None, requests: DataFrame, level: DataFrame, xs: S
 
 
 def _descend(requests: DataFrame, levels: list[DataFrame], xs: Sequence[str], k: int, first: bool) -> DataFrame:
-    """``(key, column, cell, x…)``: the leaves to search for each request, a row per missing value.
+    """``(key, column, x…, limit, cell)``: the leaves to search for each request, level by level, where they are too many to
+    be sent to every task. The first round has no limit yet.
 
     The first descent follows one child a level; the full one all that can come as near as the request's ``limit``.
     """
@@ -159,7 +171,7 @@ def _descend(requests: DataFrame, levels: list[DataFrame], xs: Sequence[str], k:
         else:
             met = met.where(_bound(xs, upper=False) <= F.col("limit") * (1 + SLACK))
         met = written(met.select(*carried, "node", "leaf"), "knn-descent")
-        reached.append(met.where("leaf").select("key", "column", F.col("node").alias("cell"), *xs))
+        reached.append(met.where("leaf").drop("leaf").withColumnRenamed("node", "cell"))
         at = met.where("not leaf").drop("leaf").repartition(_tasks(requests), "key", "column", "node")
     out = reached[0]
     for more in reached[1:]:
@@ -173,80 +185,204 @@ def _tasks(df: DataFrame) -> int:
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _nearest(asking: pd.DataFrame, donors: pd.DataFrame, xs: Sequence[str], k: int) -> pd.DataFrame:
-    """The k nearest donors of this leaf for each request; equal distances go to the smaller donor key."""
-    donors = donors.sort_values("key", kind="stable")
-    y, names = donors[list(xs)].to_numpy(dtype=float), donors["key"].to_numpy()
-    has = ~np.isnan(y)
-    y = np.where(has, y, 0.0)
-    found = []
-    step = max(1, WORK_CELLS // max(1, len(y)))
-    for column, rows in asking.groupby("column"):
-        holders = np.flatnonzero(has[:, column])
-        if not len(holders):
+def _reached(leaves: list[Row], xs: Sequence[str], k: int, first: bool):
+    """Batches of requests with the leaves to search for each: as ``_descend``, over all leaves at once.
+
+    The first leaf is the one whose k-th distance should be least, as distances shrink with the rows that a box holds.
+    """
+    low, high = (np.array([[r[f"{side}_{x}"] for x in xs] for r in leaves], dtype=float) for side in ("low", "high"))
+    n, names, has = np.array([r["n"] for r in leaves]), pa.array([r["node"] for r in leaves], pa.string()), ~np.isnan(low)
+    shrunk = np.where(n >= k, (k / n) ** (2 / 3), np.inf)
+
+    def found(x: np.ndarray, column: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        near, far = np.zeros((2, len(x), len(leaves)))
+        for j in range(len(xs)):
+            under, over = low[None, :, j] - x[:, [j]], x[:, [j]] - high[None, :, j]
+            # fmax passes over missing values
+            near += np.fmax(np.fmax(under, over), 0.0) ** 2
+            if first:
+                far += np.fmax(np.fmax(-under, -over), 0.0) ** 2
+        shared = (~np.isnan(x)).astype(float) @ has.T.astype(float)
+        open_to = has[:, column].T & (shared > 0)
+        if not first:
+            return np.nonzero(open_to & (near * len(xs) / shared <= limit[:, None] * (1 + SLACK)))
+        hoped = np.where(open_to & (n >= k), (near + far * shrunk) * len(xs) / shared, np.inf)
+        at = hoped.argmin(axis=1)
+        rows = np.flatnonzero(np.isfinite(hoped[np.arange(len(x)), at]))
+        return rows, at[rows]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, column = _values(batch, xs), batch.column("column").to_numpy()
+            limit = np.zeros(len(x)) if first else batch.column("limit").to_numpy()
+            step = max(1, WORK_CELLS // len(leaves))
+            for start in range(0, len(x), step):
+                part = slice(start, start + step)
+                with np.errstate(all="ignore"):
+                    rows, at = found(x[part], column[part], limit[part])
+                if len(rows):
+                    taken = batch.take(pa.array(rows + start))
+                    yield pa.RecordBatch.from_arrays([*taken.columns, names.take(pa.array(at))], [*batch.schema.names, "cell"])
+
+    return run
+
+
+def _values(table: pa.Table | pa.RecordBatch, xs: Sequence[str]) -> np.ndarray:
+    """The columns as rows of numbers, missing ones as nan."""
+    return np.column_stack([table.column(x).to_numpy(**{} if isinstance(table, pa.Table) else {"zero_copy_only": False}) for x in xs])
+
+
+def _reach(requests: DataFrame, levels: list[DataFrame], leaves: list[Row], xs: Sequence[str], k: int, first: bool) -> DataFrame:
+    """``(key, column, x…, limit, cell)``: the leaves to search for each request, one in the first round."""
+    if len(leaves) > BROADCAST_ROWS:
+        return _descend(requests, levels, xs, k, first)
+    if not leaves:
+        return requests.withColumn("cell", F.lit("")).limit(0)
+    schema = StructType([*requests.schema.fields, StructField("cell", StringType())])
+    return written(requests.mapInArrow(_reached(leaves, xs, k, first), schema), "knn-routes")
+
+
+def _tiles(x: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the rows, and where tiles of at most ``most`` near rows begin in it: halves along the widest column."""
+    order, starts, left = np.arange(len(x)), [], [(0, len(x))]
+    while left:
+        a, b = left.pop()
+        if b - a <= most:
+            starts.append(a)
             continue
-        yh, hh = y[holders], has[holders]
-        m = min(k, len(yh))
-        for start in range(0, len(rows), step):
-            part = rows.iloc[start : start + step]
-            x = part[list(xs)].to_numpy(dtype=float)
-            known = ~np.isnan(x)
-            x = np.where(known, x, 0.0)
-            total, shared = np.zeros((len(x), len(yh))), np.zeros((len(x), len(yh)))
-            for j in range(len(xs)):
-                both = known[:, [j]] & hh[None, :, j]
-                total += np.where(both, (x[:, [j]] - yh[None, :, j]) ** 2, 0.0)
-                shared += both
-            with np.errstate(divide="ignore", invalid="ignore"):
-                total = np.where(shared > 0, total * len(xs) / shared, np.inf)
-            limit = np.partition(total, m - 1, axis=1)[:, [m - 1]]
-            at_row, at = np.nonzero((total <= limit) & np.isfinite(total))
-            distance = total[at_row, at]
-            # donors are in key order, so their position settles ties
-            order = np.lexsort((at, distance, at_row))
-            at_row, at, distance = at_row[order], at[order], distance[order]
-            place = np.arange(len(at_row)) - np.searchsorted(at_row, at_row, side="left")
-            kept = place < m
-            at_row, at = at_row[kept], at[kept]
-            found.append(
-                pd.DataFrame(
-                    {
-                        "key": part["key"].to_numpy()[at_row],
-                        "column": column,
-                        "distance": distance[kept],
-                        "donor": names[holders[at]],
-                        "value": yh[at, column],
-                    }
-                )
-            )
-    if not found:
-        return pd.DataFrame({"key": [], "column": [], "distance": [], "donor": [], "value": []})
-    return pd.concat(found, ignore_index=True)
-
-
-def _search(requests: DataFrame, donors: DataFrame, xs: Sequence[str], k: int) -> DataFrame:
-    """The k best per (key, column) over all leaves asked for: ``(key, column, distance, donor, value)``."""
+        rows, middle = order[a:b], (b - a) // 2
+        part = x[rows]
+        wide = part[:, (part.max(axis=0) - part.min(axis=0)).argmax()]
+        order[a:b] = rows[np.argpartition(wide, middle)]
+        left += [(a + middle, b), (a, a + middle)]
+    return order, np.array(starts)
+
+
+class _Leaf:
+    """The donors of a leaf, which all have the same columns, in tiles."""
+
+    def __init__(self, y: np.ndarray):
+        self.y, self.has = y, ~np.isnan(y[0])
+        whole = y[:, self.has]
+        self.order, starts = _tiles(whole, TILE_DONORS)
+        self.ends = np.append(starts, len(y))
+        self.low, self.high = np.full((2, len(starts), y.shape[1]), np.nan)
+        self.low[:, self.has] = np.minimum.reduceat(whole[self.order], starts)
+        self.high[:, self.has] = np.maximum.reduceat(whole[self.order], starts)
+
+    def nearest(self, x: np.ndarray, shared: np.ndarray, limit: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(row, donor, distance)`` by row: the k nearest donors by squares over the ``shared`` columns; equal ones go to
+        the earlier donor. Donors beyond ``limit`` may be left out.
+
+        Products find the pairs that may be near enough, with room for their rounding; the distance of those is summed
+        column by column, so it is the same whatever tile it is found in.
+        """
+        x, y, low, high = x[:, shared], self.y[:, shared], self.low[:, shared], self.high[:, shared]
+        centre = (low.min(axis=0) + high.max(axis=0)) / 2
+        moved = (y - centre)[self.order]
+        product = np.column_stack([moved, (moved**2).sum(axis=1)]).T
+        members = [np.arange(a, b) for a, b in zip(self.ends, self.ends[1:])]
+        order, starts = _tiles(x, TILE_ASKING)
+        out = []
+        for rows in np.split(order, starts[1:]):
+            part, lim = x[rows], limit[rows]
+            mine = part - centre
+            own = (mine**2).sum(axis=1)
+            mine = np.column_stack([-2 * mine, np.ones(len(rows))])
+            room = ROUNDING * (own + product[-1].max())
+            gap = np.maximum(np.maximum(low - part.max(axis=0), part.min(axis=0) - high), 0.0)
+            least = (gap**2).sum(axis=1)
+            tiles = np.argsort(least, kind="stable")
+            i, j, d = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+            at, step = 0, max(2, -(-2 * k // TILE_DONORS))
+            while at < len(tiles) and not least[tiles[at]] > lim.max() * (1 + SLACK):
+                some = tiles[at : at + step]
+                some = some[~(least[some] > lim.max() * (1 + SLACK))]
+                at, step = at + step, max(1, WORK_CELLS // (TILE_DONORS * TILE_ASKING))
+                met = np.concatenate([members[t] for t in some])
+                short = mine @ product[:, met]
+                reach = lim
+                if len(met) >= k and np.isinf(lim).any():
+                    reach = np.fmin(lim, np.partition(short, k - 1, axis=1)[:, k - 1] + own + room)
+                # what overflows is no number and stays
+                new_i, new_j = np.nonzero(~(short > (reach * (1 + SLACK) - own + room)[:, None]))
+                new_j = self.order[met[new_j]]
+                new_d = np.zeros(len(new_i))
+                for f in range(x.shape[1]):
+                    new_d += (part[new_i, f] - y[new_j, f]) ** 2
+                good = np.isfinite(new_d)
+                i, j, d = (np.concatenate(p) for p in ((i, new_i[good]), (j, new_j[good]), (d, new_d[good])))
+                best = np.lexsort((j, d, i))
+                i, j, d = i[best], j[best], d[best]
+                place = np.arange(len(i)) - np.searchsorted(i, i, side="left")
+                i, j, d, place = (p[place < k] for p in (i, j, d, place))
+                last = place == k - 1
+                lim = lim.copy()
+                lim[i[last]] = np.minimum(lim[i[last]], d[last])
+            out.append((rows[i], j, d))
+        return tuple(np.concatenate(p) for p in zip(*out))
+
+
+def _searched(asking: pa.Table, donors: pa.Table, xs: Sequence[str], k: int, first: bool) -> pa.Table:
+    """The k nearest donors of this leaf for each request, or in the first round the distance of the k-th."""
+    schema = _LIMIT if first else _FOUND
+    if not asking.num_rows or not donors.num_rows:
+        return schema.empty_table()
+    # by key, so that the place settles ties
+    donors = donors.take(pc.sort_indices(donors, sort_keys=[("key", "ascending")]))
+    leaf, x, column = _Leaf(_values(donors, xs)), _values(asking, xs), asking.column("column").to_numpy()
+    limits = np.full(len(x), np.inf) if first else asking.column("limit").to_numpy()
+    known = ~np.isnan(x)
+    kinds, kind = np.unique(known, axis=0, return_inverse=True)
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    for number, mask in enumerate(kinds):
+        rows, shared = np.flatnonzero(kind.ravel() == number), np.flatnonzero(mask & leaf.has)
+        if not len(shared):
+            continue
+        with np.errstate(all="ignore"):
+            i, j, d = leaf.nearest(x[rows], shared, limits[rows] * len(shared) / len(xs), k)
+            found.append((rows[i], j, d * len(xs) / len(shared)))
+    i, j, d = (np.concatenate(p) for p in zip(*found))
+    kept = np.isfinite(d)
+    i, j, d = i[kept], j[kept], d[kept]
+    if first:
+        n = np.bincount(i, minlength=len(x))
+        limit = np.zeros(len(x))
+        np.maximum.at(limit, i, d)
+        limit[n < k] = np.inf
+        return pa.table([asking.column("key"), asking.column("column"), pa.array(limit)], schema=schema)
+    asked, donor = asking.select(["key", "column"]).take(pa.array(i)), donors.column("key").take(pa.array(j))
+    return pa.table([*asked.columns, pa.array(d), donor, pa.array(leaf.y[j, column[i]])], schema=schema)
+
+
+_LIMIT = pa.schema([("key", pa.string()), ("column", pa.int32()), ("limit", pa.float64())])
+_FOUND = pa.schema(
+    [("key", pa.string()), ("column", pa.int32()), ("distance", pa.float64()), ("donor", pa.string()), ("value", pa.float64())]
+)
+
+
+def _search(requests: DataFrame, donors: DataFrame, xs: Sequence[str], k: int, first: bool) -> DataFrame:
+    """The k best per (key, column) and leaf asked for: ``(key, column, distance, donor, value)``; first ``(key, column, limit)``."""
     # how many tasks search a leaf, from how many rows ask for it; as many rows as there are leaves
     tasks = F.ceil(F.count(F.lit(1)) / F.lit(float(ASKING_ROWS))).cast("int")
-    asked = requests.groupBy("cell").agg(tasks.alias("tasks"))
+    asked = checked_broadcast(requests.groupBy("cell").agg(tasks.alias("tasks")))
     salted = requests.join(asked, "cell").withColumn("task", F.pmod(F.xxhash64("key"), "tasks").cast("int"))
     held = donors.join(asked, "cell")
     held = held.withColumn("task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)))
 
     group = ["cell", "task"]
     n = _tasks(requests)
-    asking = salted.select(*group, "key", "column", *xs).repartition(n, *group)
+    limit = [] if first else ["limit"]
+    asking = salted.select(*group, "key", "column", *xs, *limit).repartition(n, *group)
     rows = held.select(*group, "key", *xs).repartition(n, *group)
-    found = (
+    return (
         asking.groupBy(*group)
         .cogroup(rows.groupBy(*group))
-        .applyInPandas(
-            lambda left, right: _nearest(left, right, xs, k),
-            "key string, column int, distance double, donor string, value double",
+        .applyInArrow(
+            lambda left, right: _searched(left, right, xs, k, first),
+            "key string, column int, limit double" if first else "key string, column int, distance double, donor string, value double",
         )
     )
-    place = F.row_number().over(Window.partitionBy("key", "column").orderBy("distance", "donor"))
-    return found.withColumn("place", place).where(F.col("place") <= k).drop("place")
 
 
 def _estimates(receivers: DataFrame, donors: DataFrame, xs: Sequence[str], k: int) -> DataFrame:
@@ -255,16 +391,21 @@ def _estimates(receivers: DataFrame, donors: DataFrame, xs: Sequence[str], k: in
     copies = Window.partitionBy(*xs).orderBy("key")
     donors = donors.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k).drop("copy")
     placed, levels = _tree(donors, xs, k)
+    leaves = reduce(DataFrame.unionByName, [level.where("leaf") for level in levels])
+    leaves = leaves.limit(BROADCAST_ROWS + 1).collect()  # a row for each leaf
     missing = F.filter(F.array(*[F.when(F.col(x).isNull(), F.lit(i)) for i, x in enumerate(xs)]), lambda c: c.isNotNull())
-    requests = receivers.select("key", F.explode(missing).alias("column"), *xs)
+    # an estimate finds its row by the key
+    requests = receivers.where("key is not null").select("key", F.explode(missing).alias("column"), *xs)
     requests = written(requests.repartition(_tasks(receivers), "key"), "knn-requests")
 
-    first = _search(_descend(requests, levels, xs, k, first=True), placed, xs, k)
-    limits = first.groupBy("key", "column").agg(F.count(F.lit(1)).alias("found"), F.max("distance").alias("limit"))
+    first = _search(_reach(requests, levels, leaves, xs, k, first=True), placed, xs, k, first=True)
+    limits = first.groupBy("key", "column").agg(F.max("limit").alias("limit"))
     # no node of k rows to look at: at most k - 1 rows of each pattern can be asked
-    limit = F.when(F.col("found") == k, F.col("limit")).otherwise(F.lit(float("inf"))).alias("limit")
+    limit = F.coalesce("limit", F.lit(float("inf"))).alias("limit")
     bounded = requests.join(limits, ["key", "column"], "left").select("key", "column", *xs, limit)
-    best = _search(_descend(bounded, levels, xs, k, first=False), placed, xs, k)
+    found = _search(_reach(bounded, levels, leaves, xs, k, first=False), placed, xs, k, first=False)
+    place = F.row_number().over(Window.partitionBy("key", "column").orderBy("distance", "donor"))
+    best = found.withColumn("place", place).where(F.col("place") <= k)
     # written, or every pass over the filled table would search again
     return written(best.groupBy("key", "column").agg(F.avg("value").alias("estimate")), "knn-estimates")
 

@@ -105,3 +105,37 @@ def test_default_preprocessing_is_neighbours_then_robust_scaling(spark):
     filled = brute(x, keys, 5)
     low, mid, high = np.percentile(filled, [25, 50, 75], axis=0)
     assert np.allclose(got, (filled - mid) / (high - low), rtol=1e-9, atol=1e-9)
+
+
+def test_a_leaf_compares_few_pairs_exactly(monkeypatch):
+    """In a large leaf most donors are passed over; far values, ties and overflow change no result."""
+    monkeypatch.setattr(knn, "TILE_DONORS", 16)
+    rng = np.random.default_rng(23)
+    y = np.round(rng.normal(size=(4000, 3)) * [1000, 300, 1], 1)
+    y[:30] = y[30]  # more ties than neighbours
+    y[40], y[41] = 1e160, 1e9
+    x = np.vstack([y[28:45], np.round(rng.normal(size=(40, 3)) * [1000, 300, 1], 1)])
+    with np.errstate(all="ignore"):
+        d = sum((x[:, [f]] - y[None, :, f]) ** 2 for f in range(3))
+        i, j, got = knn._Leaf(y).nearest(x, np.arange(3), np.full(len(x), np.inf), 5)
+    for r in range(len(x)):
+        want = [o for o in np.argsort(d[r], kind="stable") if np.isfinite(d[r, o])][:5]
+        assert j[i == r].tolist() == want and got[i == r].tolist() == d[r, want].tolist()
+    compared = []
+    monkeypatch.setattr(np, "partition", lambda a, *r, _f=np.partition, **k: compared.append(a.size) or _f(a, *r, **k))
+    near = np.round(rng.normal(size=(64, 3)) * [20, 20, 1], 1)
+    knn._Leaf(y[50:]).nearest(near, np.arange(3), np.full(64, np.inf), 5)
+    assert 0 < sum(compared) < 64 * 3950 / 5
+
+
+def test_more_leaves_than_a_table_to_send(spark, monkeypatch):
+    """Beyond that the leaves are met by joins, with the same estimates."""
+    monkeypatch.setattr(knn, "LEAF_ROWS", 8)
+    monkeypatch.setattr(knn, "SPLIT_PARTS", 2)
+    monkeypatch.setattr(knn, "BROADCAST_ROWS", 3)
+    rng = np.random.default_rng(29)
+    x = np.round(rng.normal(size=(120, 3)) * [100, 30, 1], 2)
+    x[rng.random(x.shape) < 0.15] = np.nan
+    df, keys, names = frame(spark, x)
+    got = knn.impute_knn(df, names, "id").toPandas().sort_values("id")[names].to_numpy(dtype=float)
+    assert np.allclose(got, brute(x, keys, 5), rtol=1e-9, atol=1e-9)
