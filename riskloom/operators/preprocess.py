@@ -40,6 +40,17 @@ class Preprocessor:
     donors: DataFrame | None = None
 
     def fit(self, df: DataFrame) -> "Preprocessor":
+        self._fit(df)
+        return self
+
+    def fit_transform(self, df: DataFrame) -> DataFrame:
+        """What ``fit`` and ``transform`` give for the same rows, with their neighbours searched once."""
+        if self.imputation != "knn":
+            return self.fit(df).transform(df)
+        return self._finish(df, self._fit(df, whole=True))
+
+    def _fit(self, df: DataFrame, whole: bool = False) -> DataFrame | None:
+        """Fit on ``df``; the filled rows, with key and numbers or ``whole``, unless quantiles alone fill them."""
         skip = {self.key, self.target, *self.keep}
         strings = [c for c in string_columns(df) if c not in skip]
         self.given = [c for c in numeric_columns(df) if c not in skip]
@@ -51,13 +62,14 @@ class Preprocessor:
         if self.imputation == "knn":
             self.donors = written(df.select(self.key, *map(F.col, map(encode.quoted, self.given))), "donors")
         elif self.imputation == "median" and self.scaling == "robust" and self.given:
-            return self._fit_strings(df, self._fit_quantiles(df))
+            self._fit_strings(df, self._fit_quantiles(df))
+            return None
         elif self.imputation == "median":
             self.fitted["fill"] = impute.fit_median(df, self.given)
         else:
             self.fitted["fill"] = impute.fit_mean(df, self.given)
         # filled once: the scales below read it several times
-        filled = written(self._impute(df.select(self.key, *self.given)), "filled")
+        rows = filled = written(self._impute(df if whole else df.select(self.key, *self.given)), "filled")
         self.numeric = [c for c in self.given if c in filled.columns]
         if self.scaling == "yeo-johnson":
             self.fitted["powers"] = scale.fit_yeo_johnson(filled, self.numeric)
@@ -66,7 +78,8 @@ class Preprocessor:
         else:
             fits = {"robust": scale.fit_robust, "minmax": scale.fit_minmax}
             self.fitted["scale"] = fits.get(self.scaling, scale.fit_standard)(filled, self.numeric)
-        return self._fit_strings(df, self.fitted["scale"])
+        self._fit_strings(df, self.fitted["scale"])
+        return rows
 
     def _fit_quantiles(self, df: DataFrame) -> scale.Scales:
         """Medians to fill with, and the scales of the filled columns: a column without gaps has the quantiles that it
@@ -83,13 +96,12 @@ class Preprocessor:
             scales |= scale.fit_robust(filled, holed)
         return scales
 
-    def _fit_strings(self, df: DataFrame, scales: scale.Scales) -> "Preprocessor":
+    def _fit_strings(self, df: DataFrame, scales: scale.Scales) -> None:
         self.fitted["scale"] = scales
         encoded = [*self.ordinal, *self.nominal]
         modes = impute.fill(df.select(*encoded), self.fitted["mode"], encoded) if encoded else df
         self.fitted["onehot"] = encode.fit_onehot(modes, self.nominal)
         self.codes = written(encode.fit_codes(modes, self.ordinal), "codes")
-        return self
 
     def _impute(self, df: DataFrame) -> DataFrame:
         if self.imputation == "knn":
@@ -103,7 +115,10 @@ class Preprocessor:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Key, numeric, ordinal, one-hot and passed-through columns, in that order. Nothing is fitted on ``df``."""
-        out = self._impute(df)
+        return self._finish(df, self._impute(df))
+
+    def _finish(self, df: DataFrame, out: DataFrame) -> DataFrame:
+        """``out``, the rows of ``df`` with their numbers filled, scaled and encoded."""
         powers = self._powers()
         out = scale.apply_scales(out.withColumns(powers) if powers else out, self.fitted["scale"])
         strings = [*self.ordinal, *self.nominal]
@@ -146,6 +161,6 @@ def preprocess(
     fit_on: DataFrame | None = None,
     target: str = TARGET,
 ) -> DataFrame:
-    fitted = Preprocessor(key, imputation, scaling, target).fit(df if fit_on is None else fit_on)
-    return fitted.transform(df)
+    fitted = Preprocessor(key, imputation, scaling, target)
+    return fitted.fit_transform(df) if fit_on is None else fitted.fit(fit_on).transform(df)
 

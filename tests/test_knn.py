@@ -1,8 +1,10 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from riskloom.operators import knn
+from riskloom.operators import preprocess as preprocessing
 from riskloom.operators.preprocess import preprocess
 
 
@@ -107,6 +109,27 @@ def test_default_preprocessing_is_neighbours_then_robust_scaling(spark):
     assert np.allclose(got, (filled - mid) / (high - low), rtol=1e-9, atol=1e-9)
 
 
+def test_neighbours_are_searched_once_for_the_rows_of_the_fit(spark, monkeypatch):
+    """Fitting and transforming the same rows gives the rows of doing so one after the other, by one search."""
+    rng = np.random.default_rng(19)
+    x = np.round(rng.normal(size=(90, 3)) * [50, 20, 5], 3)
+    x[rng.random(x.shape) < 0.2] = np.nan
+    df, _, names = frame(spark, x)
+    df = df.withColumn("grade", F.expr("substr('ABC', 1 + cast(substr(id, 2) as int) % 3, 1)"))
+    # a key twice and a missing one
+    df = df.unionByName(df.limit(1)).unionByName(df.limit(1).withColumn("id", F.lit(None).cast("string")))
+    searches = []
+    monkeypatch.setattr(preprocessing.knn, "impute_knn", lambda *a, _f=knn.impute_knn, **k: searches.append(1) or _f(*a, **k))
+    once = preprocess(df, "id")
+    assert len(searches) == 1
+    twice = preprocessing.Preprocessor("id").fit(df).transform(df)
+    assert once.columns == twice.columns
+    order = lambda t: sorted(t.collect(), key=lambda r: (r.id or "", r[1]))
+    got, want = order(once), order(twice)
+    assert [r[0] for r in got] == [r[0] for r in want] and len(got) == 92
+    assert np.allclose(np.array([r[1:] for r in got], float), np.array([r[1:] for r in want], float))
+
+
 def test_a_leaf_compares_few_pairs_exactly(monkeypatch):
     """In a large leaf most donors are passed over; far values, ties and overflow change no result."""
     monkeypatch.setattr(knn, "TILE_DONORS", 16)
