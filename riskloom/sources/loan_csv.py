@@ -54,16 +54,20 @@ def member_rows(stream: BinaryIO, name: str, skip_rows: int) -> Iterator[pd.Data
     """The rows of the first ``*.csv`` member of a zip archive, in batches.
 
     Only the directory at the end of the stream and the member itself are read, and the member is inflated piece by
-    piece, so memory depends on the batch and not on the archive.
+    piece, so memory depends on the batch and not on the archive. A member without a header has no rows.
     """
     with zipfile.ZipFile(stream) as archive:
         members = sorted(m for m in archive.namelist() if m.lower().endswith(".csv"))
         if not members:
             raise ValueError(f"no CSV file in {name}")
         with archive.open(members[0]) as lines:
-            yield from pd.read_csv(
-                lines, skiprows=skip_rows, dtype=str, keep_default_na=False, chunksize=ZIP_BATCH, na_values=[""]
-            )
+            try:
+                chunks = pd.read_csv(
+                    lines, skiprows=skip_rows, dtype=str, keep_default_na=False, chunksize=ZIP_BATCH, na_values=[""]
+                )
+            except pd.errors.EmptyDataError:  # Spark writes an empty file where the first task has no rows
+                return
+            yield from chunks
 
 
 def scan_zip_csv(

@@ -69,6 +69,22 @@ def test_archives_are_read_as_streams():
         list(loan_csv.member_rows(empty, "empty.zip", 1))
 
 
+def test_an_archive_without_lines_has_no_rows(spark, tmp_path):
+    """The first task writes its file also when it has no rows."""
+    for text in ("", "banner\n"):
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w") as archive:
+            archive.writestr("loans.csv", text)
+        assert list(loan_csv.member_rows(packed, "loans.zip", 1)) == []
+    rows = spark.range(0, 4, 1, 4).where("id > 0").selectExpr("cast(id as string) as id", "id * 2 as loan_amnt")
+    files, archives = f"file:{tmp_path}/files", f"file://{tmp_path}/zip"
+    loan_csv.write_loan_files(rows, files)
+    assert any(not gzip.open(p).read() for p in (tmp_path / "files").glob("*.txt.gz"))
+    assert loan_csv.pack_files(spark, files, archives).count() == 4
+    got = loan_csv.scan_zip_csv(spark, archives).select("id", "loan_amnt").collect()
+    assert sorted(map(tuple, got)) == [("1", "2"), ("2", "4"), ("3", "6")]
+
+
 def test_global_rank_with_nulls_and_no_rows(spark):
     rows = [(f"s{i * 37 % 500:03d}",) for i in range(500)] + [(None,)]
     df = spark.createDataFrame(rows, "s string")
