@@ -98,3 +98,46 @@ def test_selection_is_that_of_sparks_fit(spark):
     assert {f: r.importance for f, r in got.items()} == pytest.approx(want, rel=1e-6, abs=1e-12)
     cut = sorted(want.values())[2]
     assert {f for f, r in got.items() if r.kept} == {f for f in FEATURES if want[f] >= cut}
+
+
+def fitted(spark, monkeypatch, cells, **params):
+    """A model over blocks where ``cells`` is 0, else Spark's own."""
+    monkeypatch.setattr(train, "SPARK_CELLS", cells)
+    monkeypatch.setattr(gains, "BLOCK_CELLS", 5 * 300)
+    df = table(spark, 3000, 4)
+    return df, train.train_gbt(df, FEATURES, "y", train.TreeParams(rounds=8, max_depth=3, **params))
+
+
+def test_a_large_fit_without_draws_is_sparks(spark, monkeypatch):
+    """The trees over blocks, as a model: scores, importances and what is stored of it."""
+    df, want = fitted(spark, monkeypatch, 1 << 30, subsample=1.0, colsample=1.0)
+    monkeypatch.setattr(GBTClassifier, "_fit", None)
+    df, got = fitted(spark, monkeypatch, 0, subsample=1.0, colsample=1.0)
+    assert got.treeWeights == want.treeWeights and got.numFeatures == want.numFeatures and got.getLabelCol() == "y"
+    scores = [train.score_table(m, df, FEATURES, ["y", "a", "b"]).orderBy("a", "b").toPandas() for m in (got, want)]
+    assert np.allclose(scores[0]["p"], scores[1]["p"], rtol=1e-6)
+    assert got.featureImportances.toArray() == pytest.approx(want.featureImportances.toArray(), rel=1e-6, abs=1e-12)
+    names = ["tree", "node", "feature_index", "threshold", "left", "right", "n_rows", "weight"]
+    nodes = [train.node_table(m).select(*names).orderBy("tree", "node").collect() for m in (got, want)]
+    assert nodes[0] == nodes[1]
+    losses = [[r.loss for r in train.loss_curve(m, df, FEATURES, "y").orderBy("round").collect()] for m in (got, want)]
+    assert losses[0] == pytest.approx(losses[1], rel=1e-6)
+    short = [train.first_trees(m, 3).featureImportances.toArray() for m in (got, want)]
+    assert short[0] == pytest.approx(short[1], rel=1e-6, abs=1e-12)
+
+
+def test_a_large_fit_draws_rows_and_features(spark, monkeypatch):
+    df, model = fitted(spark, monkeypatch, 0, subsample=0.6, colsample=0.4, min_child_rows=40)
+    nodes = train.node_table(model).collect()
+    roots = [r.n_rows for r in nodes if r.node == 0]
+    assert len(set(roots)) == 8 and all(1650 < n < 1950 for n in roots)
+    assert min(r.n_rows for r in nodes) >= 40
+    # two of five features for a node, so the strongest one cannot be at every root
+    assert len({r.feature_index for r in nodes if r.node == 0}) > 1
+    again = fitted(spark, monkeypatch, 0, subsample=0.6, colsample=0.4, min_child_rows=40)[1]
+    assert again.toDebugString.split("\n")[1:] == model.toDebugString.split("\n")[1:]
+    curve = train.learning_curve(model, {"train": df}, FEATURES, "y").orderBy("round").collect()
+    assert curve[-1].auc > curve[0].auc > 0.6
+    whole = fitted(spark, monkeypatch, 1 << 30, subsample=0.6, colsample=0.4, min_child_rows=40)[1]
+    other = train.learning_curve(whole, {"train": df}, FEATURES, "y").orderBy("round").collect()
+    assert abs(curve[-1].auc - other[-1].auc) < 0.03
