@@ -41,6 +41,8 @@ ASKING_ROWS = 60_000
 WORK_CELLS = 200_000
 #: Rows of a leaf, and of the requests to it, that are compared as one.
 TILE_DONORS, TILE_ASKING = 64, 32
+#: Requests that a task puts into tiles together, and pairs of request and leaf in a batch, beyond those of one tile.
+TILED_ROWS, ROUTED_ROWS = 100_000, 10_000
 #: The rows' share of error in a bound, from adding squares in another order.
 SLACK = 1e-9
 #: The squares' share of error in a distance from a product.
@@ -189,44 +191,94 @@ def _reached(leaves: list[Row], xs: Sequence[str], k: int, first: bool):
     """Batches of requests with the leaves to search for each: as ``_descend``, over all leaves at once.
 
     The first leaf is the one whose k-th distance should be least, as distances shrink with the rows that a box holds.
+    Requests are put into tiles of near rows with the same columns. What holds for the box of a tile leaves few leaves, and
+    only those are measured for each of its rows, so most of the work no longer grows with rows times leaves.
     """
     low, high = (np.array([[r[f"{side}_{x}"] for x in xs] for r in leaves], dtype=float) for side in ("low", "high"))
     n, names, has = np.array([r["n"] for r in leaves]), pa.array([r["node"] for r in leaves], pa.string()), ~np.isnan(low)
     shrunk = np.where(n >= k, (k / n) ** (2 / 3), np.inf)
 
-    def found(x: np.ndarray, column: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        near, far = np.zeros((2, len(x), len(leaves)))
-        for j in range(len(xs)):
-            under, over = low[None, :, j] - x[:, [j]], x[:, [j]] - high[None, :, j]
-            # fmax passes over missing values
+    def measured(least: np.ndarray, most: np.ndarray, at: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """(boxes of requests x leaves): their least distance, or in the first round the distance hoped for; rows are boxes
+        of one point, and a box of several points is never farther than a point of it."""
+        near, far = np.zeros((2, len(least), len(at)))
+        for j in np.flatnonzero(known):
+            under, over = low[None, at, j] - most[:, [j]], least[:, [j]] - high[None, at, j]
             near += np.fmax(np.fmax(under, over), 0.0) ** 2
             if first:
-                far += np.fmax(np.fmax(-under, -over), 0.0) ** 2
-        shared = (~np.isnan(x)).astype(float) @ has.T.astype(float)
-        open_to = has[:, column].T & (shared > 0)
+                far += np.fmax(np.fmax(least[:, [j]] - low[None, at, j], high[None, at, j] - most[:, [j]]), 0.0) ** 2
+        shared = has[at][:, known].sum(axis=1)
         if not first:
-            return np.nonzero(open_to & (near * len(xs) / shared <= limit[:, None] * (1 + SLACK)))
-        hoped = np.where(open_to & (n >= k), (near + far * shrunk) * len(xs) / shared, np.inf)
-        at = hoped.argmin(axis=1)
-        rows = np.flatnonzero(np.isfinite(hoped[np.arange(len(x)), at]))
-        return rows, at[rows]
+            return np.where(shared > 0, near * len(xs) / shared, np.inf)
+        return np.where((shared > 0) & (n[at] >= k), (near + far * shrunk[at]) * len(xs) / shared, np.inf)
+
+    def found(x: np.ndarray, column: np.ndarray, limit: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows of a tile and the leaves to search for them."""
+        least = measured(x.min(axis=0)[None], x.max(axis=0)[None], np.arange(len(leaves)), known)[0]
+
+        def of(at: np.ndarray) -> np.ndarray:
+            return np.where(has[at][:, column].T, measured(x, x, at, known), np.inf)
+
+        if not first:
+            at = np.flatnonzero((least <= limit.max() * (1 + SLACK)) & np.isfinite(least))
+            near = of(at)
+            rows, place = np.nonzero((near <= limit[:, None] * (1 + SLACK)) & np.isfinite(near))
+            return rows, at[place]
+        some = np.argsort(least, kind="stable")[:k]
+        at = np.flatnonzero((least <= of(some).min(axis=1).max() * (1 + SLACK)) & np.isfinite(least))
+        if not len(at):
+            return at, at
+        hoped = of(at)
+        best = hoped.argmin(axis=1)
+        rows = np.flatnonzero(np.isfinite(hoped[np.arange(len(x)), best]))
+        return rows, at[best[rows]]
+
+    def routed(requests: pa.Table) -> Iterator[pa.RecordBatch]:
+        x, column = _values(requests, xs), requests.column("column").to_numpy()
+        limit = np.zeros(len(x)) if first else requests.column("limit").to_numpy()
+        met, size = [], 0
+
+        def taken() -> list[pa.RecordBatch]:
+            rows, at = (pa.array(np.concatenate(p)) for p in zip(*met))
+            return requests.take(rows).append_column("cell", names.take(at)).combine_chunks().to_batches()
+
+        for known, tile in _alike(x):
+            with np.errstate(all="ignore"):
+                rows, at = found(x[tile], column[tile], limit[tile], known)
+            if len(rows):
+                met.append((tile[rows], at))
+                size += len(rows)
+            if size >= ROUTED_ROWS:
+                yield from taken()
+                met, size = [], 0
+        if met:
+            yield from taken()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the more requests there are, the nearer are the rows of a tile
+        kept, rows = [], 0
         for batch in batches:
-            x, column = _values(batch, xs), batch.column("column").to_numpy()
-            limit = np.zeros(len(x)) if first else batch.column("limit").to_numpy()
-            step = max(1, WORK_CELLS // len(leaves))
-            for start in range(0, len(x), step):
-                part = slice(start, start + step)
-                with np.errstate(all="ignore"):
-                    rows, at = found(x[part], column[part], limit[part])
-                if len(rows):
-                    taken = batch.take(pa.array(rows + start))
-                    yield pa.RecordBatch.from_arrays([*taken.columns, names.take(pa.array(at))], [*batch.schema.names, "cell"])
+            kept.append(batch)
+            rows += batch.num_rows
+            if rows >= TILED_ROWS:
+                yield from routed(pa.Table.from_batches(kept))
+                kept, rows = [], 0
+        if rows:
+            yield from routed(pa.Table.from_batches(kept))
 
     return run
 
 
+def _alike(x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Tiles of near rows that have the same columns, of which there is one at least: those columns and the rows."""
+    kinds, kind = np.unique(~np.isnan(x), axis=0, return_inverse=True)
+    for number, known in enumerate(kinds):
+        rows = np.flatnonzero(kind.ravel() == number)
+        if known.any():
+            order, starts = _tiles(x[rows][:, known], TILE_ASKING)
+            yield from ((known, tile) for tile in np.split(rows[order], starts[1:]))
+
+
 def _values(table: pa.Table | pa.RecordBatch, xs: Sequence[str]) -> np.ndarray:
     """The columns as rows of numbers, missing ones as nan."""
     return np.column_stack([table.column(x).to_numpy(**{} if isinstance(table, pa.Table) else {"zero_copy_only": False}) for x in xs])
@@ -282,7 +334,10 @@ class _Leaf:
         moved = (y - centre)[self.order]
         product = np.column_stack([moved, (moved**2).sum(axis=1)]).T
         members = [np.arange(a, b) for a, b in zip(self.ends, self.ends[1:])]
-        order, starts = _tiles(x, TILE_ASKING)
+        # with a bound for each row a wider tile meets hardly more donors
+        size = TILE_ASKING * (4 if np.isfinite(limit).all() else 1)
+        most = max(1, WORK_CELLS // (TILE_DONORS * size))
+        order, starts = _tiles(x, size)
         out = []
         for rows in np.split(order, starts[1:]):
             part, lim = x[rows], limit[rows]
@@ -292,13 +347,15 @@ class _Leaf:
             room = ROUNDING * (own + product[-1].max())
             gap = np.maximum(np.maximum(low - part.max(axis=0), part.min(axis=0) - high), 0.0)
             least = (gap**2).sum(axis=1)
-            tiles = np.argsort(least, kind="stable")
+            tiles = np.flatnonzero(~(least > lim.max() * (1 + SLACK)))
+            tiles = tiles[np.argsort(least[tiles], kind="stable")]
             i, j, d = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-            at, step = 0, max(2, -(-2 * k // TILE_DONORS))
+            # without a bound the steps begin short, as the distances found are one
+            at, step = 0, most if np.isfinite(lim).all() else max(2, -(-2 * k // TILE_DONORS))
             while at < len(tiles) and not least[tiles[at]] > lim.max() * (1 + SLACK):
                 some = tiles[at : at + step]
                 some = some[~(least[some] > lim.max() * (1 + SLACK))]
-                at, step = at + step, max(1, WORK_CELLS // (TILE_DONORS * TILE_ASKING))
+                at, step = at + step, min(4 * step, most)
                 met = np.concatenate([members[t] for t in some])
                 short = mine @ product[:, met]
                 reach = lim

@@ -1,6 +1,8 @@
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from riskloom.operators import knn
@@ -162,3 +164,50 @@ def test_more_leaves_than_a_table_to_send(spark, monkeypatch):
     df, keys, names = frame(spark, x)
     got = knn.impute_knn(df, names, "id").toPandas().sort_values("id")[names].to_numpy(dtype=float)
     assert np.allclose(got, brute(x, keys, 5), rtol=1e-9, atol=1e-9)
+
+
+@pytest.mark.parametrize("first", [True, False])
+def test_requests_measure_few_leaves(monkeypatch, first):
+    """Each request gets the leaves that all of them would give it, but most are ruled out for many requests at once."""
+    rng = np.random.default_rng(31)
+    xs, k = ["x0", "x1", "x2"], 5
+    corners = np.stack(np.meshgrid(*[np.arange(0, 100, 10.0)] * 3), axis=-1).reshape(-1, 3)
+    low, high = corners.copy(), corners + rng.uniform(2, 10, size=corners.shape)
+    low[::7, 2] = high[::7, 2] = np.nan  # leaves of rows without the last column
+    n = rng.integers(3, 200, len(low))
+    leaves = [Row(node=f"n{i}", n=int(n[i]), **{f"{s}_{x}": None if np.isnan(v[i, j]) else float(v[i, j])
+              for s, v in (("low", low), ("high", high)) for j, x in enumerate(xs)}) for i in range(len(low))]
+    x = rng.uniform(-5, 105, size=(640, 3)).round(2)
+    x[:100] = x[0]
+    column = rng.integers(0, 3, len(x))
+    x[np.arange(len(x)), column] = np.nan
+    x[100] = np.nan  # nothing to compare by
+    x[101] = [1e200, np.nan, 1.0]
+    column[101] = 1
+    limit = rng.uniform(0, 300, len(x))
+    limit[200:203] = np.inf
+    batch = pa.RecordBatch.from_pydict(
+        {"key": [f"r{i}" for i in range(len(x))], "column": pa.array(column, pa.int32()), "limit": limit}
+        | {c: pa.array(x[:, j], from_pandas=True) for j, c in enumerate(xs)}
+    )
+    measured = []
+    monkeypatch.setattr(np, "fmax", lambda a, *r, _f=np.fmax, **kw: measured.append(np.size(a)) or _f(a, *r, **kw))
+    out = list(knn._reached(leaves, xs, k, first)(iter([batch])))
+    monkeypatch.undo()
+    got = sorted((key, cell) for b in out for key, cell in zip(b.column("key").to_pylist(), b.column("cell").to_pylist()))
+    want = []
+    for i in range(len(x)):
+        with np.errstate(all="ignore"):
+            side = np.nan_to_num(np.fmax(np.fmax(low - x[i], x[i] - high), 0))
+            far = np.nan_to_num(np.fmax(x[i] - low, high - x[i]))
+            shared = (~np.isnan(low) & ~np.isnan(x[i])).sum(axis=1)
+            near, far = ((v[:, 0] ** 2 + v[:, 1] ** 2 + v[:, 2] ** 2) * 3 / shared for v in (side, far))
+        held = ~np.isnan(low[:, column[i]]) & (shared > 0)
+        if not first:
+            want += [(f"r{i}", f"n{j}") for j in np.flatnonzero(held & (near <= limit[i]) & np.isfinite(near))]
+            continue
+        hoped = np.where(held & (n >= k), near + far * (k / n) ** (2 / 3), np.inf)
+        if np.isfinite(hoped).any():
+            want.append((f"r{i}", f"n{hoped.argmin()}"))
+    assert got == sorted(want) and len(got) > 500
+    assert sum(measured) < len(x) * len(leaves) * (5 if first else 2)
